@@ -7,27 +7,13 @@ are the non-SQL ones (model fits); the driver checks those rows-only.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from riskfold.operators import blocks as B
 from riskfold.plans import bindings as BD
 from riskfold.plans.oracle_blocks import block_sql, double_outputs
-from riskfold.plans.sqlkit import duck_round, round_doubles
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, oracle: str | Callable[[], str] | None = None):
-    def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: round_doubles(fn(spark, sf_dir))
-        if oracle is not None:
-            ORACLES[name] = oracle() if callable(oracle) else oracle
-        return fn
-
-    return deco
+from riskfold.plans.registry import ORACLES, QUERIES, oracles, register  # noqa: F401
+from riskfold.plans.sqlkit import duck_round
 
 
 # ---------------------------------------------------------------------------
@@ -69,4 +55,7 @@ _block_query("block_previous", B.PREVIOUS)
 _block_query("block_installments", B.INSTALLMENTS)
 _block_query("block_card", B.CREDIT_CARD)
 _block_query("block_pos", B.POS_CASH)
-FLAGSHIP = "block_accounts"
+
+from riskfold.plans import q_store  # noqa: E402,F401
+
+FLAGSHIP = "feature_store"
