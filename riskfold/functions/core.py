@@ -47,17 +47,30 @@ def _cols(cols: Iterable[str | Column]) -> list[Column]:
     return [col_or_expr(c) for c in cols]
 
 
+def tree_sum(terms: Sequence[Column]) -> Column:
+    """Balanced sum: keeps expression depth O(log n) for wide rows (hundreds of columns)."""
+    terms = list(terms)
+    if not terms:
+        return F.lit(0)
+    while len(terms) > 1:
+        nxt = [terms[i] + terms[i + 1] for i in range(0, len(terms) - 1, 2)]
+        if len(terms) % 2:
+            nxt.append(terms[-1])
+        terms = nxt
+    return terms[0]
+
+
 def row_nonnull_count(cols: Sequence[str | Column]) -> Column:
-    return sum((col_or_expr(c).isNotNull().cast("int") for c in cols), F.lit(0))
+    return tree_sum([col_or_expr(c).isNotNull().cast("int") for c in cols])
 
 
 def row_null_count(cols: Sequence[str | Column]) -> Column:
-    return sum((col_or_expr(c).isNull().cast("int") for c in cols), F.lit(0))
+    return tree_sum([col_or_expr(c).isNull().cast("int") for c in cols])
 
 
 def row_sum_fill0(cols: Sequence[str | Column]) -> Column:
     """Horizontal sum skipping NULLs; an all-NULL row sums to 0."""
-    return sum((F.coalesce(col_or_expr(c), F.lit(0)) for c in cols), F.lit(0))
+    return tree_sum([F.coalesce(col_or_expr(c), F.lit(0)) for c in cols])
 
 
 def row_mean(cols: Sequence[str | Column]) -> Column:

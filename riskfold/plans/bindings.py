@@ -226,7 +226,26 @@ def _pos(dialect: str) -> list[str]:
     ]
 
 
+def _scoring(dialect: str) -> list[str]:
+    """One application per order with a planted-signal label and a closed-form PD."""
+    k = "o_orderkey"
+    u = _hash01(k, dialect)
+    u_test = _hash01(k, dialect, "test")
+    u_pd = _hash01(k, dialect, "pd")
+    z = f"({D('-3.0')} + {D('4.0')} * o_totalprice / {D('500000')} + {D('1.5')} * ({u_pd} - {D('0.5')}))"
+    pd_raw = f"({D('1')} / ({D('1')} + exp(-{z})))"
+    return [
+        f"{k} AS SK_ID_CURR",
+        f"CASE WHEN {u_test} < {D('0.15')} THEN 'test' ELSE 'train' END AS dataset",
+        f"CASE WHEN {u_test} < {D('0.15')} THEN NULL ELSE CAST(CASE WHEN {u} < {D('0.02')} + {D('0.15')} * o_totalprice / {D('500000')} "
+        f"THEN 1 ELSE 0 END AS INT) END AS TARGET",
+        f"floor({pd_raw} * {D('10000')}) / {D('10000')} + {D('0.00005')} AS pd",
+        f"CASE WHEN {k} % 101 = 0 THEN NULL ELSE o_totalprice END AS AMT_CREDIT",
+    ]
+
+
 _EXPRS = {
+    "scoring": _scoring,
     "application": lambda d: _application(d) + _application_split(d),
     "bureau": _bureau,
     "bureau_balance": _bureau_balance,
@@ -237,6 +256,7 @@ _EXPRS = {
 }
 
 BINDINGS = {
+    "scoring": Binding("scoring", ("orders",), None),
     "application": Binding("application", ("customer",), None),
     "bureau": Binding("bureau", ("orders",), None),
     "bureau_balance": Binding("bureau_balance", ("lineitem",), None),
