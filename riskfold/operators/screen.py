@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskfold.functions.core import bucket_right
+from riskfold.functions.core import bucket_right, round_significant
 from riskfold.operators.rank import exact_quantiles, prefix_sums
 
 # Fixed screening thresholds.
@@ -33,12 +33,21 @@ EPS = 1e-6
 DEV, VAL = "development", "validation"
 
 
+VALUE_DIGITS = 12
+
+
 def to_long(df: DataFrame, features: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Wide candidate matrix -> (keys..., feature, value double); +-inf/NaN -> NULL."""
+    """Wide candidate matrix -> (keys..., feature, value double); +-inf/NaN -> NULL.
+
+    Values are normalised to 12 significant digits: rank statistics depend on
+    exact ties, and floating-point noise in the last bits (0.6 vs
+    0.6000000000000001 from different summation orders) must not create
+    spurious distinct values.
+    """
     entries = [F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").cast("double").alias("value")) for f in features]
     long = df.select(*keys, F.explode(F.array(*entries)).alias("_e")).select(*keys, "_e.feature", "_e.value")
     v = F.col("value")
-    return long.withColumn("value", F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v))
+    return long.withColumn("value", F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), round_significant(v, VALUE_DIGITS)))
 
 
 def basic_stats(long: DataFrame, split_col: str = "screening_split") -> DataFrame:

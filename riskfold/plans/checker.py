@@ -28,7 +28,6 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        v = round(v, 6)
         return int(v) if v.is_integer() else v
     if hasattr(v, "item"):
         return _norm(v.item())

@@ -282,3 +282,18 @@ def psi_oracle() -> str:
     sql = f"""WITH {scored_sql()},{_psi_sql('pd', 'psi_pd')},{_psi_sql('a_card_score', 'psi_points')}
 SELECT {SPLIT}, psi_pd, psi_points FROM p_psi_pd FULL JOIN p_psi_points USING ({SPLIT})"""
     return duck_round(sql, ["psi_pd", "psi_points"])
+
+
+@register("class_weights", lambda: class_weights_oracle())
+def q_class_weights(spark, sf_dir):
+    dev = scored_population(spark, sf_dir).filter(F.col(SPLIT) == "development").select(KEY, "TARGET")
+    return E.class_weights(dev)
+
+
+def class_weights_oracle() -> str:
+    sql = f"""WITH {scored_sql()},
+dv AS (SELECT {KEY}, TARGET FROM scored WHERE {SPLIT} = 'development'),
+r AS (SELECT avg(TARGET) AS rate FROM dv),
+w AS (SELECT 0.5 / greatest(rate, 1e-6) AS wp, 0.5 / greatest(1 - rate, 1e-6) AS wn, rate FROM r)
+SELECT {KEY}, TARGET, CASE WHEN TARGET = 1 THEN wp ELSE wn END / (rate * wp + (1 - rate) * wn) AS sample_weight FROM dv, w"""
+    return duck_round(sql, ["sample_weight"])

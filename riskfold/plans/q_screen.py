@@ -12,7 +12,7 @@ from riskfold.operators import screen as SC
 from riskfold.operators import store as S
 from riskfold.plans import q_store as QS
 from riskfold.plans.registry import register
-from riskfold.plans.sqlkit import duck_round
+from riskfold.plans.sqlkit import duck_round, sig_round_sql
 from riskfold.session import ensure_checkpoint_dir
 
 KEYS = ["SK_ID_CURR", "screening_split", "TARGET"]
@@ -227,8 +227,10 @@ top AS (SELECT col, level, row_number() OVER (PARTITION BY col ORDER BY cnt DESC
 oh_long AS (SELECT lv.SK_ID_CURR, lv.screening_split, lv.TARGET,
   'catoh__' || top.col || '__' || lpad(CAST(top.idx AS VARCHAR), 2, '0') || '_' || {_sanitize('top.level')} AS feature,
   CAST(CAST(lv.level = top.level AS INTEGER) AS DOUBLE) AS value FROM lv JOIN top ON lv.col = top.col),
-long AS (SELECT SK_ID_CURR, screening_split, TARGET, feature, value FROM num_long
-  UNION ALL SELECT * FROM freq_long UNION ALL SELECT * FROM oh_long)"""
+long0 AS (SELECT SK_ID_CURR, screening_split, TARGET, feature, value FROM num_long
+  UNION ALL SELECT * FROM freq_long UNION ALL SELECT * FROM oh_long),
+long AS (SELECT SK_ID_CURR, screening_split, TARGET, feature,
+  CASE WHEN isnan(value) OR isinf(value) THEN NULL ELSE {sig_round_sql('value', SC.VALUE_DIGITS)} END AS value FROM long0)"""
 
 
 def freq_oracle() -> str:
@@ -272,8 +274,8 @@ ranked AS (SELECT feature, TARGET,
   (rank() OVER (PARTITION BY feature ORDER BY value) + rank() OVER (PARTITION BY feature ORDER BY value)
    + count(*) OVER (PARTITION BY feature, value) - 1) / 2.0 AS avg_rank
   FROM dev WHERE value IS NOT NULL AND TARGET IS NOT NULL),
-auc AS (SELECT feature, sum(TARGET) AS P, count(*) - sum(TARGET) AS Nn,
-  sum(CASE WHEN TARGET = 1 THEN avg_rank ELSE 0 END) AS R FROM ranked GROUP BY feature),
+auc AS (SELECT feature, sum(TARGET) AS pos_n, count(*) - sum(TARGET) AS neg_n,
+  sum(CASE WHEN TARGET = 1 THEN avg_rank ELSE 0 END) AS rank_sum FROM ranked GROUP BY feature),
 vt AS (SELECT feature, value, count(*) AS n, sum(TARGET) AS bad FROM dev
   WHERE value IS NOT NULL AND TARGET IS NOT NULL GROUP BY feature, value),
 vt2 AS (SELECT *, sum(n) OVER (PARTITION BY feature ORDER BY value) AS cn,
@@ -283,7 +285,7 @@ vt2 AS (SELECT *, sum(n) OVER (PARTITION BY feature ORDER BY value) AS cn,
 ks AS (SELECT feature, max(abs(cb / BB - (cn - cb) / (NN - BB))) AS ks_raw, any_value(nvals) AS nvals,
   any_value(NN) AS NN, any_value(BB) AS BB FROM vt2 GROUP BY feature),
 ak AS (SELECT ks.feature,
-  CASE WHEN BB > 0 AND NN - BB > 0 AND nvals >= 2 THEN (R - P * (P + 1) / 2.0) / (P * Nn) END AS auc,
+  CASE WHEN BB > 0 AND NN - BB > 0 AND nvals >= 2 THEN (rank_sum - pos_n * (pos_n + 1) / 2.0) / (pos_n * neg_n) END AS auc,
   CASE WHEN BB > 0 AND NN - BB > 0 AND nvals >= 2 THEN ks_raw END AS ks
   FROM ks JOIN auc USING (feature)),
 qs AS (SELECT dev.feature, quantile_cont(value, [{probs}]) AS q FROM dev JOIN basic USING (feature)
@@ -349,3 +351,30 @@ SELECT feature_group, count(candidate_feature) AS candidate_count,
   median(auc_power) AS median_auc_power, median(iv) AS median_iv, median(psi_development_validation) AS median_psi_dev_val
 FROM report GROUP BY feature_group"""
     return duck_round(sql, ["median_auc_power", "median_iv", "median_psi_dev_val"])
+
+
+# ---------------------------------------------------------------------------
+# N5 design-matrix fit and N6 class weights
+# ---------------------------------------------------------------------------
+
+@register("winsor_impute_standardize", lambda: design_fit_oracle())
+def q_design_fit(spark, sf_dir):
+    long, _ = candidate_long(spark, sf_dir)
+    dev = long.filter(F.col("screening_split") == SC.DEV).select("SK_ID_CURR", "feature", "value")
+    return E.fit_design(dev)
+
+
+def design_fit_oracle() -> str:
+    sql = _long_sql() + f""",
+dv AS (SELECT feature, value FROM long WHERE screening_split = 'development'),
+q AS (SELECT feature, quantile_cont(value, 0.01) AS lower, coalesce(quantile_cont(value, 0.5), 0.0) AS impute,
+  quantile_cont(value, 0.99) AS upper, avg(CAST(value IS NULL AS DOUBLE)) AS missing_rate FROM dv GROUP BY feature),
+m AS (SELECT dv.feature, avg(coalesce(least(greatest(value, lower), upper), impute)) AS mean,
+  stddev_pop(coalesce(least(greatest(value, lower), upper), impute)) AS std FROM dv JOIN q USING (feature) GROUP BY dv.feature)
+SELECT q.feature, q.missing_rate, q.lower, q.impute, q.upper, m.mean,
+  CASE WHEN m.std IS NULL OR m.std < {E.STD_FLOOR} THEN 1.0 ELSE m.std END AS std,
+  q.missing_rate >= {E.INDICATOR_MIN_RATE} AS add_indicator, q.missing_rate AS indicator_mean,
+  CASE WHEN sqrt(q.missing_rate * (1 - q.missing_rate)) < {E.STD_FLOOR} THEN 1.0 ELSE sqrt(q.missing_rate * (1 - q.missing_rate)) END
+    AS indicator_std
+FROM q JOIN m USING (feature)"""
+    return duck_round(sql, ["missing_rate", "lower", "impute", "upper", "mean", "std", "indicator_mean", "indicator_std"])

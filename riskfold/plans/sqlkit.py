@@ -8,26 +8,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DIGITS = 6
+from riskfold.functions.core import SNAP_DIGITS, round_significant
 
+SIG = 10  # significant digits kept in final reports
 
-def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every double/float output column (and turn -0.0 into 0.0).
+
+def round_doubles(df: DataFrame, digits: int = SIG) -> DataFrame:
+    """Round every double/float output column to 10 significant digits (-0.0 -> 0.0).
 
     Only the *final* report is rounded so that engines summing in different
     orders hash equal; intermediates are never rounded.
     """
     repl = {
-        f.name: (F.round(F.col(f.name), digits) + F.lit(0.0)).cast("double")
+        f.name: round_significant(F.col(f"`{f.name}`").cast("double"), digits)
         for f in df.schema.fields
         if isinstance(f.dataType, (T.DoubleType, T.FloatType))
     }
     return df.withColumns(repl) if repl else df
 
 
-def duck_round(sql: str, double_cols: Iterable[str], digits: int = DIGITS) -> str:
+def _sig_once(c: str, digits: int) -> str:
+    k = f"({digits - 1} - floor(log10(abs({c}))))"
+    return (
+        f"(CASE WHEN {c} IS NULL OR isnan({c}) OR isinf({c}) OR {c} = 0 OR {k} > 22 THEN {c} + 0.0 "
+        f"WHEN {k} >= 0 THEN round({c} * pow(10.0, {k}), 0) / pow(10.0, {k}) + 0.0 "
+        f"ELSE round({c} / pow(10.0, -{k}), 0) * pow(10.0, -{k}) + 0.0 END)"
+    )
+
+
+def _sig_duck(c: str, digits: int = SIG) -> str:
+    """Same two-stage rounding as ``round_significant`` (snap to 14 digits, then round)."""
+    return _sig_once(_sig_once(c, SNAP_DIGITS), digits)
+
+
+def duck_round(sql: str, double_cols: Iterable[str]) -> str:
     cols = list(double_cols)
     if not cols:
         return sql
-    repl = ", ".join(f'round("{c}", {digits}) + 0.0 AS "{c}"' for c in cols)
+    repl = ", ".join(f'{_sig_duck(chr(34) + c + chr(34))} AS "{c}"' for c in cols)
     return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) _r"
+
+
+sig_round_sql = _sig_duck

@@ -34,7 +34,7 @@ def test_topk_rows_ceil(spark):
     for (s, k), row in out.set_index(["screening_split", "topk_pct"]).iterrows():
         n = (pdf["screening_split"] == s).sum()
         assert row["rows"] == math.ceil(n * k)
-        top = pdf[pdf["screening_split"] == s].sort_values(["pred", "SK_ID_CURR"], ascending=[False, True]).head(row["rows"])
+        top = pdf[pdf["screening_split"] == s].sort_values(["pred", "SK_ID_CURR"], ascending=[False, True]).head(int(row["rows"]))
         assert row["bad_count"] == top["TARGET"].sum()
 
 

@@ -45,7 +45,7 @@ def test_auc_symmetry_and_ks(spark):
 
 
 def test_binary_feature_collapses_to_one_bin(spark):
-    pdf = pd.DataFrame({"SK_ID_CURR": np.arange(100), "feature": "flag", "value": [0.0] * 90 + [1.0] * 10})
+    pdf = pd.DataFrame({"SK_ID_CURR": np.arange(100), "feature": "flag", "value": [0.0] * 95 + [1.0] * 5})
     edges = decile_edges(spark.createDataFrame(pdf)).collect()[0]["edges"]
     assert edges == [float("-inf"), float("inf")]
 
