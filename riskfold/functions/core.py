@@ -160,7 +160,7 @@ def sanitize_token(s: str | Column, max_len: int = 48) -> Column:
     return F.when((t.isNull()) | (t == ""), F.lit("blank")).otherwise(t)
 
 
-def _round_sig_once(c: Column, digits: int) -> Column:
+def round_significant_once(c: Column, digits: int) -> Column:
     a = F.abs(c)
     e = F.floor(F.log10(a))
     k = F.lit(digits - 1) - e
@@ -181,4 +181,4 @@ def round_significant(c: Column, digits: int = 10) -> Column:
     removes last-bit noise from terminating decimals (a mean of cents over 8
     rows), so the second rounding sees identical inputs in every engine.
     """
-    return _round_sig_once(_round_sig_once(c, SNAP_DIGITS), digits)
+    return round_significant_once(round_significant_once(c, SNAP_DIGITS), digits)

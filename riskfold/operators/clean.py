@@ -106,23 +106,27 @@ def add_application_features(df: DataFrame) -> DataFrame:
     requests = [c for c in cols if c.startswith("AMT_REQ_CREDIT_BUREAU_")]
     raw = [c for c in cols if c not in ID_COLUMNS and not c.endswith(SENTINEL_SUFFIX)]
 
-    years = {
-        "applicant_age_years": -F.col("DAYS_BIRTH") / F.lit(365.25),
-        "employment_years": -F.col("DAYS_EMPLOYED") / F.lit(365.25),
-        "registration_age_years": -F.col("DAYS_REGISTRATION") / F.lit(365.25),
-        "id_publish_years": -F.col("DAYS_ID_PUBLISH") / F.lit(365.25),
-        "last_phone_change_years": -F.col("DAYS_LAST_PHONE_CHANGE") / F.lit(365.25),
+    # Derived columns whose inputs are absent are skipped (schemas vary by source).
+    year_src = {
+        "applicant_age_years": "DAYS_BIRTH",
+        "employment_years": "DAYS_EMPLOYED",
+        "registration_age_years": "DAYS_REGISTRATION",
+        "id_publish_years": "DAYS_ID_PUBLISH",
+        "last_phone_change_years": "DAYS_LAST_PHONE_CHANGE",
     }
-    out = df.withColumns(years)
-    new = {
-        "credit_to_income_ratio": safe_div("AMT_CREDIT", "AMT_INCOME_TOTAL"),
-        "annuity_to_income_ratio": safe_div("AMT_ANNUITY", "AMT_INCOME_TOTAL"),
-        "credit_to_annuity_ratio": safe_div("AMT_CREDIT", "AMT_ANNUITY"),
-        "goods_to_credit_ratio": safe_div("AMT_GOODS_PRICE", "AMT_CREDIT"),
-        "income_per_family_member": safe_div("AMT_INCOME_TOTAL", "CNT_FAM_MEMBERS"),
-        "children_to_family_ratio": safe_div("CNT_CHILDREN", "CNT_FAM_MEMBERS"),
-        "employment_to_age_ratio": safe_div("employment_years", "applicant_age_years"),
+    years = {k: -F.col(v) / F.lit(365.25) for k, v in year_src.items() if v in cols}
+    out = df.withColumns(years) if years else df
+    have = set(out.columns)
+    ratio_src = {
+        "credit_to_income_ratio": ("AMT_CREDIT", "AMT_INCOME_TOTAL"),
+        "annuity_to_income_ratio": ("AMT_ANNUITY", "AMT_INCOME_TOTAL"),
+        "credit_to_annuity_ratio": ("AMT_CREDIT", "AMT_ANNUITY"),
+        "goods_to_credit_ratio": ("AMT_GOODS_PRICE", "AMT_CREDIT"),
+        "income_per_family_member": ("AMT_INCOME_TOTAL", "CNT_FAM_MEMBERS"),
+        "children_to_family_ratio": ("CNT_CHILDREN", "CNT_FAM_MEMBERS"),
+        "employment_to_age_ratio": ("employment_years", "applicant_age_years"),
     }
+    new = {k: safe_div(n, d) for k, (n, d) in ratio_src.items() if n in have and d in have}
     if ext:
         new.update(
             {

@@ -117,7 +117,8 @@ def exact_quantiles(
     pos = pos.withColumn("_lo", F.floor("_h") + 1).withColumn("_hi", F.ceil("_h") + 1)
     lo = pos.join(ranked.select(*g, F.col("_r").alias("_lo"), F.col("_x").alias("_xlo")), [*g, "_lo"])
     both = lo.join(ranked.select(*g, F.col("_r").alias("_hi"), F.col("_x").alias("_xhi")), [*g, "_hi"])
-    frac = F.col("_h") - (F.col("_lo") - 1)
-    return both.select(
-        *g, F.col("prob_idx").cast("int").alias("prob_idx"), "prob", (F.col("_xlo") + (F.col("_xhi") - F.col("_xlo")) * frac).alias("value")
-    )
+    t = F.col("_h") - (F.col("_lo") - 1)
+    a, b = F.col("_xlo"), F.col("_xhi")
+    # numpy's linear interpolation: a + (b-a)t below t=0.5, b - (b-a)(1-t) above.
+    lerp = F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (F.lit(1.0) - t))
+    return both.select(*g, F.col("prob_idx").cast("int").alias("prob_idx"), "prob", lerp.alias("value"))

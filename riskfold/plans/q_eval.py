@@ -11,7 +11,9 @@ from riskfold.operators import evaluate as EV
 from riskfold.operators import scorecard as K
 from riskfold.plans import bindings as BD
 from riskfold.plans.registry import register
-from riskfold.plans.sqlkit import duck_round
+from riskfold.plans.sqlkit import duck_round, npq, npq_list
+
+DECILES = [i / 10 for i in range(11)]
 from riskfold.session import ensure_checkpoint_dir
 
 KEY, SPLIT = "SK_ID_CURR", "screening_split"
@@ -118,9 +120,9 @@ split AS (
     WHEN rk <= 2 * round_even(n * 0.2, 0) THEN 'validation' ELSE 'development' END AS {SPLIT} FROM sp
   UNION ALL SELECT {KEY}, 'external_unlabeled' FROM base WHERE dataset IS DISTINCT FROM 'train'),
 pop AS (SELECT base.*, split.{SPLIT}, {points_sql('pd')} AS a_card_score FROM base JOIN split USING ({KEY})),
-gq AS (SELECT list_sort(list_distinct(quantile_cont(a_card_score, [{probs}]))) AS q FROM pop WHERE {SPLIT} = 'validation'),
+gq AS (SELECT list_sort(list_distinct({npq_list('a_card_score', DECILES)})) AS q FROM pop WHERE {SPLIT} = 'validation'),
 ge AS (SELECT list_concat([CAST('-inf' AS DOUBLE)], q[2:len(q) - 1], [CAST('inf' AS DOUBLE)]) AS edges FROM gq),
-cut AS (SELECT quantile_cont(pd, 0.8) AS manual_cut, quantile_cont(pd, 0.9) AS decline_cut FROM pop WHERE {SPLIT} = 'validation'),
+cut AS (SELECT {npq('pd', 0.8)} AS manual_cut, {npq('pd', 0.9)} AS decline_cut FROM pop WHERE {SPLIT} = 'validation'),
 scored AS (SELECT pop.*,
   'G' || lpad(CAST(len(list_filter(ge.edges, lambda e: e < a_card_score)) AS VARCHAR), 2, '0') AS score_grade,
   CASE WHEN pd >= decline_cut THEN 'decline' WHEN pd >= manual_cut THEN 'manual_review' ELSE 'approve' END AS strategy_action
@@ -153,7 +155,7 @@ FROM lab JOIN t USING ({SPLIT}) GROUP BY {SPLIT}, strategy_action"""
 
 def scenarios_oracle() -> str:
     grid = [(d, m) for d in K.SCENARIO_DECLINE for m in K.SCENARIO_REVIEW if d + m < K.SCENARIO_MAX_TOTAL]
-    q = lambda p: f"(SELECT quantile_cont(pd, {_dbl(p)}) FROM scored WHERE {SPLIT} = 'validation')"
+    q = lambda p: f"(SELECT {npq('pd', p)} FROM scored WHERE {SPLIT} = 'validation')"
     vals = ", ".join(f"({_dbl(d)}, {_dbl(m)}, {q(1 - d)}, {q(1 - d - m)})" for d, m in grid)
     sql = f"""WITH {scored_sql()},
 gc(decline_pct_target, manual_review_pct_target, dcut, mcut) AS (VALUES {vals}),
@@ -176,9 +178,9 @@ FROM x GROUP BY {SPLIT}, decline_pct_target, manual_review_pct_target"""
 def distribution_oracle() -> str:
     sql = f"""WITH {scored_sql()}
 SELECT {SPLIT}, count(*) AS rows, count(TARGET) > 0 AS target_available, avg(pd) AS avg_pd, avg(a_card_score) AS avg_score,
-  quantile_cont(pd, 0.05) AS pd_p05, quantile_cont(pd, 0.5) AS pd_p50, quantile_cont(pd, 0.95) AS pd_p95,
-  quantile_cont(a_card_score, 0.05) AS score_p05, quantile_cont(a_card_score, 0.5) AS score_p50,
-  quantile_cont(a_card_score, 0.95) AS score_p95
+  {npq('pd', 0.05)} AS pd_p05, {npq('pd', 0.5)} AS pd_p50, {npq('pd', 0.95)} AS pd_p95,
+  {npq('a_card_score', 0.05)} AS score_p05, {npq('a_card_score', 0.5)} AS score_p50,
+  {npq('a_card_score', 0.95)} AS score_p95
 FROM scored GROUP BY {SPLIT}"""
     return duck_round(sql, ["avg_pd", "avg_score", "pd_p05", "pd_p50", "pd_p95", "score_p05", "score_p50", "score_p95"])
 
@@ -264,7 +266,7 @@ FROM c GROUP BY {SPLIT}"""
 def _psi_sql(col: str, name: str) -> str:
     probs = ", ".join(str(i / 10) for i in range(11))
     return f"""
-q_{name} AS (SELECT list_sort(list_distinct(quantile_cont({col}, [{probs}]))) AS q FROM scored WHERE {SPLIT} = 'development'),
+q_{name} AS (SELECT list_sort(list_distinct({npq_list(col, DECILES)})) AS q FROM scored WHERE {SPLIT} = 'development'),
 e_{name} AS (SELECT CASE WHEN len(q) >= 3 THEN list_concat([CAST('-inf' AS DOUBLE)], q[2:len(q) - 1], [CAST('inf' AS DOUBLE)]) END AS edges FROM q_{name}),
 b_{name} AS (SELECT {SPLIT}, least(len(list_filter(edges, lambda e: e <= {col})), len(edges) - 1) AS bucket FROM scored, e_{name}),
 c_{name} AS (SELECT {SPLIT}, bucket, count(*) AS c FROM b_{name} GROUP BY ALL),
@@ -297,3 +299,20 @@ r AS (SELECT avg(TARGET) AS rate FROM dv),
 w AS (SELECT 0.5 / greatest(rate, 1e-6) AS wp, 0.5 / greatest(1 - rate, 1e-6) AS wn, rate FROM r)
 SELECT {KEY}, TARGET, CASE WHEN TARGET = 1 THEN wp ELSE wn END / (rate * wp + (1 - rate) * wn) AS sample_weight FROM dv, w"""
     return duck_round(sql, ["sample_weight"])
+
+
+@register("strategy_action_profile", lambda: action_profile_oracle())
+def q_action_profile(spark, sf_dir):
+    """Validation + holdout action metrics in the fixed approve / review / decline order."""
+    m = K.strategy_metrics(scored_population(spark, sf_dir)).filter(F.col(SPLIT).isin("validation", "final_holdout"))
+    order = F.create_map(F.lit("approve"), F.lit(1), F.lit("manual_review"), F.lit(2), F.lit("decline"), F.lit(3))
+    return m.select(SPLIT, "strategy_action", order[F.col("strategy_action")].alias("action_order"), "population_pct",
+                    "bad_rate", "bad_capture", "avg_pd")
+
+
+def action_profile_oracle() -> str:
+    inner = strategy_oracle()
+    sql = f"""SELECT {SPLIT}, strategy_action, CASE strategy_action WHEN 'approve' THEN 1 WHEN 'manual_review' THEN 2
+  WHEN 'decline' THEN 3 END AS action_order, population_pct, bad_rate, bad_capture, avg_pd
+FROM ({inner}) s WHERE {SPLIT} IN ('validation', 'final_holdout')"""
+    return sql

@@ -16,10 +16,10 @@ from riskfold.operators import explain as X
 from riskfold.operators import scorecard as K
 from riskfold.operators import segments as G
 from riskfold.plans import q_store as QS
-from riskfold.plans.q_eval import KEY, SPLIT, _dbl, points_sql
+from riskfold.plans.q_eval import DECILES, KEY, SPLIT, _dbl, points_sql
 from riskfold.plans.q_screen import _split_sql, memo
 from riskfold.plans.registry import register
-from riskfold.plans.sqlkit import duck_round
+from riskfold.plans.sqlkit import duck_round, npq, npq_list
 from riskfold.session import ensure_checkpoint_dir
 
 # Fixed linear scorer: (feature, coefficient on the standardised value) and bias.
@@ -158,9 +158,9 @@ st AS (SELECT {stats} FROM pb WHERE {SPLIT} = 'development'),
 pz AS (SELECT pb.*, {zs} FROM pb, st),
 p1 AS (SELECT *, 1.0 / (1.0 + exp(-least(greatest({logit}, -35.0), 35.0))) AS pd FROM pz),
 pop AS (SELECT *, {points_sql('pd')} AS a_card_score FROM p1),
-gq AS (SELECT list_sort(list_distinct(quantile_cont(a_card_score, [{probs}]))) AS q FROM pop WHERE {SPLIT} = 'validation'),
+gq AS (SELECT list_sort(list_distinct({npq_list('a_card_score', DECILES)})) AS q FROM pop WHERE {SPLIT} = 'validation'),
 ge AS (SELECT list_concat([CAST('-inf' AS DOUBLE)], q[2:len(q) - 1], [CAST('inf' AS DOUBLE)]) AS edges FROM gq),
-cut AS (SELECT quantile_cont(pd, 0.8) AS manual_cut, quantile_cont(pd, 0.9) AS decline_cut FROM pop WHERE {SPLIT} = 'validation'),
+cut AS (SELECT {npq('pd', 0.8)} AS manual_cut, {npq('pd', 0.9)} AS decline_cut FROM pop WHERE {SPLIT} = 'validation'),
 scored AS (SELECT pop.*,
   'G' || lpad(CAST(len(list_filter(ge.edges, lambda e: e < a_card_score)) AS VARCHAR), 2, '0') AS score_grade,
   CASE WHEN pd >= decline_cut THEN 'decline' WHEN pd >= manual_cut THEN 'manual_review' ELSE 'approve' END AS strategy_action
@@ -277,7 +277,7 @@ def cases_oracle(texts: bool) -> str:
         f"{{'s': {G.score_col(d)}, 'o': {i}, 'n': '{d}'}}" for i, (d, _) in enumerate(G.DIMENSIONS)
     )
     sql = f"""{_capacity_sql()},
-med AS (SELECT quantile_cont(pd, 0.5) AS m FROM capl WHERE strategy_action = 'manual_review'),
+med AS (SELECT {npq('pd', 0.5)} AS m FROM capl WHERE strategy_action = 'manual_review'),
 o AS (SELECT capl.*, row_number() OVER (PARTITION BY strategy_action ORDER BY
   CASE WHEN strategy_action = 'decline' THEN -pd WHEN strategy_action = 'manual_review' THEN abs(pd - med.m) ELSE pd END, {KEY}) AS r
   FROM capl, med),

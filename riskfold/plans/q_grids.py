@@ -5,7 +5,7 @@ from __future__ import annotations
 from riskfold.operators import grids as G
 from riskfold.plans.q_eval import KEY, SPLIT, _dbl, points_sql, scored_population, scored_sql
 from riskfold.plans.registry import register
-from riskfold.plans.sqlkit import duck_round
+from riskfold.plans.sqlkit import duck_round, npq
 
 
 @register("threshold_curve", lambda: threshold_oracle())
@@ -60,7 +60,7 @@ def _cut(p: float) -> str:
         return "CAST('inf' AS DOUBLE)"
     if p >= 1:
         return "CAST('-inf' AS DOUBLE)"
-    return f"(SELECT quantile_cont(pd, {_dbl(1 - p)}) FROM scored WHERE {SPLIT} = 'validation')"
+    return f"(SELECT {npq('pd', 1 - p)} FROM scored WHERE {SPLIT} = 'validation')"
 
 
 def _score_cut(c: str) -> str:
@@ -223,7 +223,7 @@ AMOUNT_DOUBLES = [
 def _amount_curve_sql() -> str:
     return f"""WITH {scored_sql()},
 {_grid_values(G.AMOUNT_SCENARIOS, G.AMOUNT_FIELDS)},
-med AS (SELECT quantile_cont(AMT_CREDIT, 0.5) AS med FROM scored WHERE {SPLIT} = 'validation' AND AMT_CREDIT IS NOT NULL),
+med AS (SELECT {npq('AMT_CREDIT', 0.5)} AS med FROM scored WHERE {SPLIT} = 'validation' AND AMT_CREDIT IS NOT NULL),
 lab AS (SELECT scored.*, greatest(coalesce(AMT_CREDIT, med.med), 0.0) AS e FROM scored, med WHERE TARGET IS NOT NULL),
 x AS (SELECT lab.{SPLIT}, g.*, TARGET, e, CASE WHEN pd >= pd_decline_cutoff_from_validation THEN 'd'
   WHEN pd >= pd_manual_cutoff_from_validation THEN 'm' ELSE 'a' END AS act FROM lab, g),

@@ -32,7 +32,8 @@ def pruned_report(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str
         for f in passing[M.CORR_MAX_FEATURES:]:
             decisions[f] = {"corr_keep": False, "corr_drop_with": "", "corr_drop_abs_corr": None, "corr_drop_reason": "beyond_cap"}
         dec_rows = [
-            (f, bool(d["corr_keep"]), M.CORR_PRUNE, d["corr_drop_with"], d["corr_drop_abs_corr"], d["corr_drop_reason"])
+            (f, bool(d["corr_keep"]), M.CORR_PRUNE, d["corr_drop_with"],
+             None if d["corr_drop_abs_corr"] is None else float(d["corr_drop_abs_corr"]), d["corr_drop_reason"])
             for f, d in decisions.items()
         ]
         dec = spark.createDataFrame(
@@ -147,3 +148,19 @@ def q_model_comparison(spark, sf_dir):
     a = _metrics(logit(spark, sf_dir)[1]).withColumn("model", F.lit("logistic_l2"))
     b = _metrics(gbt(spark, sf_dir)[1]).withColumn("model", F.lit("gradient_boosted_trees"))
     return a.unionByName(b)
+
+
+@register("logit_training_history")
+def q_logit_history(spark, sf_dir):
+    model, _, _ = logit(spark, sf_dir)
+    return M.training_history(spark, model)
+
+
+@register("model_card")
+def q_model_card(spark, sf_dir):
+    lm, ls, ln = logit(spark, sf_dir)
+    gm, gs, gn = gbt(spark, sf_dir)
+    a = M.model_card(spark, "logistic_l2", lm, ln, {"regParam": M.L2, "weights": "class_balanced"}, _metrics(ls))
+    b = M.model_card(spark, "gradient_boosted_trees", gm, gn, {"stepSize": 0.03, "maxDepth": 5, "trees": gm.getNumTrees},
+                     _metrics(gs))
+    return a.unionByName(b)

@@ -12,7 +12,7 @@ from riskfold.operators import screen as SC
 from riskfold.operators import store as S
 from riskfold.plans import q_store as QS
 from riskfold.plans.registry import register
-from riskfold.plans.sqlkit import duck_round, sig_round_sql
+from riskfold.plans.sqlkit import duck_round, npq, npq_list, sig_round_sql
 from riskfold.session import ensure_checkpoint_dir
 
 KEYS = ["SK_ID_CURR", "screening_split", "TARGET"]
@@ -166,7 +166,7 @@ CATS = ["NAME_CONTRACT_TYPE", "OCCUPATION_TYPE"]
 
 
 def _split_sql() -> str:
-    fs = QS.feature_store_oracle()
+    fs, _, _ = QS._feature_store_sql()  # unrounded, like the Spark intermediates
     return f"""
 fs AS ({fs}),
 sp AS (SELECT SK_ID_CURR, dataset, TARGET,
@@ -288,7 +288,7 @@ ak AS (SELECT ks.feature,
   CASE WHEN BB > 0 AND NN - BB > 0 AND nvals >= 2 THEN (rank_sum - pos_n * (pos_n + 1) / 2.0) / (pos_n * neg_n) END AS auc,
   CASE WHEN BB > 0 AND NN - BB > 0 AND nvals >= 2 THEN ks_raw END AS ks
   FROM ks JOIN auc USING (feature)),
-qs AS (SELECT dev.feature, quantile_cont(value, [{probs}]) AS q FROM dev JOIN basic USING (feature)
+qs AS (SELECT dev.feature, {npq_list('value', [i / 10 for i in range(11)])} AS q FROM dev JOIN basic USING (feature)
   WHERE value IS NOT NULL AND development_nunique >= 2 GROUP BY dev.feature),
 edges AS (SELECT feature, list_concat([CAST('-inf' AS DOUBLE)], list_sort(list_distinct(q))[2:len(list_distinct(q)) - 1],
   [CAST('inf' AS DOUBLE)]) AS edges FROM qs),
@@ -367,8 +367,8 @@ def q_design_fit(spark, sf_dir):
 def design_fit_oracle() -> str:
     sql = _long_sql() + f""",
 dv AS (SELECT feature, value FROM long WHERE screening_split = 'development'),
-q AS (SELECT feature, quantile_cont(value, 0.01) AS lower, coalesce(quantile_cont(value, 0.5), 0.0) AS impute,
-  quantile_cont(value, 0.99) AS upper, avg(CAST(value IS NULL AS DOUBLE)) AS missing_rate FROM dv GROUP BY feature),
+q AS (SELECT feature, {npq('value', 0.01)} AS lower, coalesce({npq('value', 0.5)}, 0.0) AS impute,
+  {npq('value', 0.99)} AS upper, avg(CAST(value IS NULL AS DOUBLE)) AS missing_rate FROM dv GROUP BY feature),
 m AS (SELECT dv.feature, avg(coalesce(least(greatest(value, lower), upper), impute)) AS mean,
   stddev_pop(coalesce(least(greatest(value, lower), upper), impute)) AS std FROM dv JOIN q USING (feature) GROUP BY dv.feature)
 SELECT q.feature, q.missing_rate, q.lower, q.impute, q.upper, m.mean,
@@ -378,3 +378,15 @@ SELECT q.feature, q.missing_rate, q.lower, q.impute, q.upper, m.mean,
     AS indicator_std
 FROM q JOIN m USING (feature)"""
     return duck_round(sql, ["missing_rate", "lower", "impute", "upper", "mean", "std", "indicator_mean", "indicator_std"])
+
+
+@register("screening_top30", lambda: duck_round(
+    _report_sql() + "\nSELECT candidate_feature, feature_group, screening_score, auc_power, ks, iv FROM report "
+    "ORDER BY univariate_pass DESC, screening_score DESC, candidate_feature LIMIT 30",
+    ["screening_score", "auc_power", "ks", "iv"]))
+def q_screening_top30(spark, sf_dir):
+    """The 30 strongest candidates (a top-k report; ties broken by name)."""
+    rep = screening_report(spark, sf_dir)
+    return rep.orderBy(F.col("univariate_pass").desc(), F.col("screening_score").desc(), "candidate_feature").limit(30).select(
+        "candidate_feature", "feature_group", "screening_score", "auc_power", "ks", "iv"
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskfold.functions.core import SNAP_DIGITS, round_significant
+from riskfold.functions.core import SNAP_DIGITS, round_significant_once
 
 SIG = 10  # significant digits kept in final reports
 
@@ -17,14 +17,15 @@ def round_doubles(df: DataFrame, digits: int = SIG) -> DataFrame:
     """Round every double/float output column to 10 significant digits (-0.0 -> 0.0).
 
     Only the *final* report is rounded so that engines summing in different
-    orders hash equal; intermediates are never rounded.
+    orders hash equal; intermediates are never rounded.  The two stages of
+    :func:`round_significant` are applied as two projections so each column
+    expression stays small.
     """
-    repl = {
-        f.name: round_significant(F.col(f"`{f.name}`").cast("double"), digits)
-        for f in df.schema.fields
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-    }
-    return df.withColumns(repl) if repl else df
+    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    if not cols:
+        return df
+    snap = df.withColumns({c: round_significant_once(F.col(f"`{c}`").cast("double"), SNAP_DIGITS) for c in cols})
+    return snap.withColumns({c: round_significant_once(F.col(f"`{c}`"), digits) for c in cols})
 
 
 def _sig_once(c: str, digits: int) -> str:
@@ -45,8 +46,31 @@ def duck_round(sql: str, double_cols: Iterable[str]) -> str:
     cols = list(double_cols)
     if not cols:
         return sql
-    repl = ", ".join(f'{_sig_duck(chr(34) + c + chr(34))} AS "{c}"' for c in cols)
-    return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) _r"
+    q = chr(34)
+    snap = ", ".join(f'{_sig_once(q + c + q, SNAP_DIGITS)} AS "{c}"' for c in cols)
+    final = ", ".join(f'{_sig_once(q + c + q, SIG)} AS "{c}"' for c in cols)
+    return f"SELECT * REPLACE ({final}) FROM (SELECT * REPLACE ({snap}) FROM (\n{sql}\n) _r0) _r"
 
 
 sig_round_sql = _sig_duck
+
+
+def npq(col: str, p: float) -> str:
+    """Aggregate SQL for the numpy-style linear quantile of ``col`` (NULLs ignored).
+
+    h = (n - 1) p over the sorted values; a + (b - a) t below t = 0.5 and
+    b - (b - a)(1 - t) above, exactly like the Spark operator.
+    """
+    lst = f"list_sort(list({col}) FILTER (WHERE {col} IS NOT NULL))"
+    h = f"((len({lst}) - 1) * CAST('{float(p)!r}' AS DOUBLE))"
+    t = f"({h} - floor({h}))"
+    lo = f"{lst}[CAST(floor({h}) AS BIGINT) + 1]"
+    hi = f"{lst}[CAST(ceil({h}) AS BIGINT) + 1]"
+    return (
+        f"(CASE WHEN len({lst}) = 0 THEN NULL WHEN {t} < 0.5 THEN {lo} + ({hi} - {lo}) * {t} "
+        f"ELSE {hi} - ({hi} - {lo}) * (1 - {t}) END)"
+    )
+
+
+def npq_list(col: str, probs) -> str:
+    return "[" + ", ".join(npq(col, p) for p in probs) + "]"
