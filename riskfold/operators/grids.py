@@ -332,3 +332,15 @@ def cost_heatmap(amount_curve: DataFrame, scenario: str = "amount_balanced_base"
     return part.groupBy("manual_review_pct_target_from_validation").pivot(
         "decline_pct_target_from_validation", list(STRATEGY_DECLINE_PCT_GRID)
     ).agg(F.avg("incremental_profit_proxy_per_100m_credit"))
+
+
+def scenario_assumptions(spark) -> DataFrame:
+    """The unit-cost scenario table (fixed values above) as a DataFrame."""
+    schema = f"{COST_FIELDS[0]} string, " + ", ".join(f"{f} double" for f in COST_FIELDS[1:])
+    return spark.createDataFrame(list(COST_SCENARIOS), schema)
+
+
+def amount_assumptions(spark) -> DataFrame:
+    """The amount-weighted scenario table as a DataFrame."""
+    schema = f"{AMOUNT_FIELDS[0]} string, " + ", ".join(f"{f} double" for f in AMOUNT_FIELDS[1:])
+    return spark.createDataFrame(list(AMOUNT_SCENARIOS), schema)

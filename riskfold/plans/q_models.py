@@ -164,3 +164,31 @@ def q_model_card(spark, sf_dir):
     b = M.model_card(spark, "gradient_boosted_trees", gm, gn, {"stepSize": 0.03, "maxDepth": 5, "trees": gm.getNumTrees},
                      _metrics(gs))
     return a.unionByName(b)
+
+
+@register("project_overview")
+def q_project_overview(spark, sf_dir):
+    """Headline totals across the pipeline's reports (one row)."""
+    from riskfold.plans.q_eval import scored_population
+    from riskfold.plans.q_store import feature_store
+
+    rep, shortlist, _, selected = pruned_report(spark, sf_dir)
+    fs = feature_store(spark, sf_dir)
+    counts = rep.agg(
+        F.count(F.lit(1)).alias("candidate_features"),
+        F.sum(F.col("quality_pass").cast("bigint")).alias("quality_pass_features"),
+        F.sum(F.col("univariate_pass").cast("bigint")).alias("univariate_pass_features"),
+        F.sum(F.col("final_stat_shortlist").cast("bigint")).alias("shortlist_features"),
+    ).first()
+    apps = fs.count()
+    scored = scored_population(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("scored_rows"),
+        F.sum((F.col("strategy_action") == "decline").cast("bigint")).alias("declined_rows"),
+    ).first()
+    row = (apps, len(fs.columns), counts["candidate_features"], counts["quality_pass_features"],
+           counts["univariate_pass_features"], counts["shortlist_features"], scored["scored_rows"], scored["declined_rows"])
+    return spark.createDataFrame(
+        [row],
+        "applications bigint, feature_store_columns int, candidate_features bigint, quality_pass_features bigint, "
+        "univariate_pass_features bigint, shortlist_features bigint, scored_rows bigint, declined_rows bigint",
+    )

@@ -429,3 +429,14 @@ def q_raw_file_sizes(spark, sf_dir):
     )
     prof = PR.table_profile(tables).drop("file_mb")
     return prof.join(sizes.select("table", "file_mb"), "table", "left")
+
+
+@register("leakage_risk_summary", lambda: leakage_oracle())
+def q_leakage_summary(spark, sf_dir):
+    """A3: columns per (data domain, initial leakage risk) over the observed dictionary."""
+    return PR.leakage_summary(PR.column_dictionary(PR.column_profile(role_tables(spark, sf_dir))))
+
+
+def leakage_oracle() -> str:
+    inner = dictionary_oracle()
+    return f"SELECT data_domain, leakage_risk_initial, count(*) AS columns FROM ({inner}) d GROUP BY ALL"

@@ -50,3 +50,12 @@ def test_one_pass_grid_equals_direct_filter(spark):
             assert got[(s, k)] == (len(sel), sel["TARGET"].sum())
         assert got[(s, 0)] == (len(part), part["TARGET"].sum())
         assert got[(s, len(cuts) + 1)] == (0, 0)
+
+
+def test_weighted_logloss_and_assumptions(spark):
+    from riskfold.operators.evaluate import weighted_logloss
+    from riskfold.operators.grids import amount_assumptions, scenario_assumptions
+
+    df = spark.createDataFrame([(1, 0.5, 1.0), (0, 0.5, 3.0)], "TARGET int, pred double, sample_weight double")
+    assert abs(weighted_logloss(df).first()[0] - math.log(2.0)) < 1e-12
+    assert scenario_assumptions(spark).count() == 4 and amount_assumptions(spark).count() == 4
