@@ -161,14 +161,13 @@ def sanitize_token(s: str | Column, max_len: int = 48) -> Column:
 
 
 def round_significant_once(c: Column, digits: int) -> Column:
+    """One rounding to ``digits`` significant digits (half-even, IEEE ``rint``)."""
     a = F.abs(c)
-    e = F.floor(F.log10(a))
-    k = F.lit(digits - 1) - e
-    up = F.round(c * F.pow(F.lit(10.0), k), 0) / F.pow(F.lit(10.0), k)
-    down = F.round(c / F.pow(F.lit(10.0), -k), 0) * F.pow(F.lit(10.0), -k)
-    r = F.when(k >= 0, up).otherwise(down)
-    finite = c.isNotNull() & ~F.isnan(c) & (a != F.lit(float("inf"))) & (a > F.lit(0.0))
-    return F.when(finite & (k <= 22), r + F.lit(0.0)).otherwise(c + F.lit(0.0))
+    k = F.lit(digits - 1) - F.floor(F.log10(a))
+    up = F.rint(c * F.pow(F.lit(10.0), k)) / F.pow(F.lit(10.0), k)
+    down = F.rint(c / F.pow(F.lit(10.0), -k)) * F.pow(F.lit(10.0), -k)
+    ok = (a > F.lit(0.0)) & (a < F.lit(float("inf"))) & (k <= 22)
+    return F.when(ok & (k >= 0), up + F.lit(0.0)).when(ok, down + F.lit(0.0)).otherwise(c + F.lit(0.0))
 
 
 SNAP_DIGITS = 14
