@@ -329,9 +329,17 @@ def amount_cost_curve(scored: DataFrame, reference: str = "validation", key: str
 def cost_heatmap(amount_curve: DataFrame, scenario: str = "amount_balanced_base", split: str = "validation") -> DataFrame:
     """Manual % x decline % pivot of the profit per 100m credit."""
     part = amount_curve.filter((F.col("amount_cost_scenario") == scenario) & (F.col(SPLIT) == split))
-    return part.groupBy("manual_review_pct_target_from_validation").pivot(
+    wide = part.groupBy("manual_review_pct_target_from_validation").pivot(
         "decline_pct_target_from_validation", list(STRATEGY_DECLINE_PCT_GRID)
     ).agg(F.avg("incremental_profit_proxy_per_100m_credit"))
+    return wide.select(
+        "manual_review_pct_target_from_validation",
+        *[F.col(f"`{d!r}`").alias(heatmap_column(d)) for d in STRATEGY_DECLINE_PCT_GRID],
+    )
+
+
+def heatmap_column(decline_pct: float) -> str:
+    return f"decline_{round(decline_pct * 100):02d}pct"
 
 
 def scenario_assumptions(spark) -> DataFrame:

@@ -296,11 +296,11 @@ def amount_oracle(best: bool) -> str:
 
 def heatmap_oracle() -> str:
     cols = ", ".join(
-        f'avg(incremental_profit_proxy_per_100m_credit) FILTER (WHERE decline_pct_target_from_validation = {_dbl(d)}) AS "{d!r}"'
+        f'avg(incremental_profit_proxy_per_100m_credit) FILTER (WHERE decline_pct_target_from_validation = {_dbl(d)}) AS "{G.heatmap_column(d)}"'
         for d in G.STRATEGY_DECLINE_PCT_GRID
     )
     sql = _amount_curve_sql() + f"""
 SELECT manual_review_pct_target_from_validation, {cols} FROM curve
 WHERE amount_cost_scenario = 'amount_balanced_base' AND {SPLIT} = 'validation'
 GROUP BY manual_review_pct_target_from_validation"""
-    return duck_round(sql, ["manual_review_pct_target_from_validation"] + [repr(d) for d in G.STRATEGY_DECLINE_PCT_GRID])
+    return duck_round(sql, ["manual_review_pct_target_from_validation"] + [G.heatmap_column(d) for d in G.STRATEGY_DECLINE_PCT_GRID])

@@ -82,14 +82,37 @@ def _sig_duck(c: str, digits: int = SIG) -> str:
     return _sig_once(_sig_once(c, SNAP_DIGITS), digits)
 
 
+def _sig_layers(src: str, cols: list[str], digits: int, tag: str) -> str:
+    """Two flat projections: exponent per column, then the rounding (small expressions)."""
+    q = chr(34)
+    exps = ", ".join(
+        f"CASE WHEN {q}{c}{q} IS NULL OR isnan({q}{c}{q}) OR isinf({q}{c}{q}) OR {q}{c}{q} = 0 THEN NULL "
+        f"ELSE {digits - 1} - floor(log10(abs({q}{c}{q}))) END AS {q}__k{i}{q}"
+        for i, c in enumerate(cols)
+    )
+    rounded = ", ".join(
+        f"CASE WHEN {q}__k{i}{q} IS NULL OR {q}__k{i}{q} > 22 THEN {q}{c}{q} + 0.0 "
+        f"WHEN {q}__k{i}{q} >= 0 THEN round_even({q}{c}{q} * pow(10.0, {q}__k{i}{q}), 0) / pow(10.0, {q}__k{i}{q}) + 0.0 "
+        f"ELSE round_even({q}{c}{q} / pow(10.0, -{q}__k{i}{q}), 0) * pow(10.0, -{q}__k{i}{q}) + 0.0 END AS {q}{c}{q}"
+        for i, c in enumerate(cols)
+    )
+    drop = ", ".join(f"{q}__k{i}{q}" for i in range(len(cols)))
+    return (
+        f"{tag}a AS (SELECT *, {exps} FROM {src}),\n"
+        f"{tag}b AS (SELECT * EXCLUDE ({drop}) REPLACE ({rounded}) FROM {tag}a)"
+    )
+
+
 def duck_round(sql: str, double_cols: Iterable[str]) -> str:
     cols = list(double_cols)
     if not cols:
         return sql
-    q = chr(34)
-    snap = ", ".join(f'{_sig_once(q + c + q, SNAP_DIGITS)} AS "{c}"' for c in cols)
-    final = ", ".join(f'{_sig_once(q + c + q, SIG)} AS "{c}"' for c in cols)
-    return f"SELECT * REPLACE ({final}) FROM (SELECT * REPLACE ({snap}) FROM (\n{sql}\n) _r0) _r"
+    return (
+        f"WITH _r0 AS MATERIALIZED (\n{sql}\n),\n"
+        f"{_sig_layers('_r0', cols, SNAP_DIGITS, '_s')},\n"
+        f"{_sig_layers('_sb', cols, SIG, '_f')}\n"
+        "SELECT * FROM _fb"
+    )
 
 
 sig_round_sql = _sig_duck
