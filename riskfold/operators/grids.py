@@ -57,6 +57,7 @@ AMOUNT_FIELDS = (
 )
 
 SPLIT, LABEL, PD = "screening_split", "TARGET", "pd"
+MONEY = "decimal(38,4)"
 
 
 def admissible_grid(scenarios: Sequence[tuple]) -> list[tuple]:
@@ -268,18 +269,29 @@ def amount_cost_curve(scored: DataFrame, reference: str = "validation", key: str
                       exposure_col: str = "AMT_CREDIT") -> DataFrame:
     """The cost grid weighted by credit exposure (NULL -> validation median, floor 0)."""
     med = quantile_values(scored.filter(F.col(SPLIT) == reference), exposure_col, [0.5], key)[0]
-    expo = F.greatest(F.coalesce(F.col(exposure_col), F.lit(float(med))), F.lit(0.0))
-    y = F.col(LABEL).cast("double")
+    # Money is summed exactly: credit amounts carry cents and the imputed
+    # median at most one more digit, so DECIMAL(38,4) holds every exposure and
+    # every "at or above cutoff" difference without rounding.
+    expo = F.greatest(F.coalesce(F.col(exposure_col), F.lit(float(med))), F.lit(0.0)).cast(MONEY)
+    y = F.col(LABEL).cast("int")
     grid = admissible_grid(AMOUNT_SCENARIOS)
     fracs = {r[-2] for r in grid} | {r[-2] + r[-1] for r in grid}
-    ct = CutoffTable(scored, sorted(fracs), {"n": F.lit(1.0), "e": expo, "be": expo * y}, reference, key)
+    ct = CutoffTable(scored, sorted(fracs), {"n": F.lit(1.0), "e": expo, "be": (expo * y).cast(MONEY)}, reference, key)
     j = _joined(ct, _grid_frame(scored.sparkSession, grid, AMOUNT_FIELDS, ct))
-    n, te, tbe = F.col("t_n"), F.col("t_e"), F.col("t_be")
-    tge = te - tbe
-    dn, de, dbe = F.col("d_n"), F.col("d_e"), F.col("d_be")
-    mn, me, mbe = F.col("m_n") - dn, F.col("m_e") - de, F.col("m_be") - dbe
-    an, ae, abe = n - F.col("m_n"), te - F.col("m_e"), tbe - F.col("m_be")
-    dge, mge, age = de - dbe, me - mbe, ae - abe
+
+    def dbl(c):
+        return c.cast("double")
+
+    n = F.col("t_n")
+    te, tbe, tge = dbl(F.col("t_e")), dbl(F.col("t_be")), dbl(F.col("t_e") - F.col("t_be"))
+    dn, de, dbe = F.col("d_n"), dbl(F.col("d_e")), dbl(F.col("d_be"))
+    mn = F.col("m_n") - dn
+    me, mbe = dbl(F.col("m_e") - F.col("d_e")), dbl(F.col("m_be") - F.col("d_be"))
+    an = n - F.col("m_n")
+    ae, abe = dbl(F.col("t_e") - F.col("m_e")), dbl(F.col("t_be") - F.col("m_be"))
+    dge = dbl(F.col("d_e") - F.col("d_be"))
+    mge = dbl((F.col("m_e") - F.col("d_e")) - (F.col("m_be") - F.col("d_be")))
+    age = dbl((F.col("t_e") - F.col("m_e")) - (F.col("t_be") - F.col("m_be")))
     catch, glost = F.col("manual_bad_catch_rate"), F.col("manual_good_false_decline_rate")
     unit = F.lit(float(med)) * F.col("manual_review_cost_rate_of_median_credit")
     saved = dbe + catch * mbe

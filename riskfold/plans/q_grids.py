@@ -224,7 +224,7 @@ def _amount_curve_sql() -> str:
     return f"""WITH {scored_sql()},
 {_grid_values(G.AMOUNT_SCENARIOS, G.AMOUNT_FIELDS)},
 med AS (SELECT {npq('AMT_CREDIT', 0.5)} AS med FROM scored WHERE {SPLIT} = 'validation' AND AMT_CREDIT IS NOT NULL),
-lab AS (SELECT scored.*, greatest(coalesce(AMT_CREDIT, med.med), 0.0) AS e FROM scored, med WHERE TARGET IS NOT NULL),
+lab AS (SELECT scored.*, CAST(greatest(coalesce(AMT_CREDIT, med.med), 0.0) AS DECIMAL(38,4)) AS e FROM scored, med WHERE TARGET IS NOT NULL),
 x AS (SELECT lab.{SPLIT}, g.*, TARGET, e, CASE WHEN pd >= pd_decline_cutoff_from_validation THEN 'd'
   WHEN pd >= pd_manual_cutoff_from_validation THEN 'm' ELSE 'a' END AS act FROM lab, g),
 c AS (SELECT amount_cost_scenario, {SPLIT}, decline_pct_target_from_validation, manual_review_pct_target_from_validation,
@@ -234,17 +234,17 @@ c AS (SELECT amount_cost_scenario, {SPLIT}, decline_pct_target_from_validation,
   any_value(pd_decline_cutoff_from_validation) AS pd_decline_cutoff_from_validation,
   count(*) AS rows, count(*) FILTER (WHERE act = 'd') AS direct_decline_rows,
   count(*) FILTER (WHERE act = 'm') AS manual_review_rows, count(*) FILTER (WHERE act = 'a') AS auto_approve_rows,
-  sum(e) AS total_credit_exposure, coalesce(sum(e) FILTER (WHERE TARGET = 1), 0) AS total_bad_credit_exposure,
-  coalesce(sum(e) FILTER (WHERE TARGET = 0), 0) AS total_good_credit_exposure,
-  coalesce(sum(e) FILTER (WHERE act = 'd'), 0) AS direct_decline_credit_exposure,
-  coalesce(sum(e) FILTER (WHERE act = 'm'), 0) AS manual_review_credit_exposure,
-  coalesce(sum(e) FILTER (WHERE act = 'a'), 0) AS auto_approve_credit_exposure,
-  coalesce(sum(e) FILTER (WHERE act = 'd' AND TARGET = 1), 0) AS bad_direct_decline_credit_exposure,
-  coalesce(sum(e) FILTER (WHERE act = 'd' AND TARGET = 0), 0) AS good_direct_decline_credit_exposure,
-  coalesce(sum(e) FILTER (WHERE act = 'm' AND TARGET = 1), 0) AS bad_manual_review_credit_exposure,
-  coalesce(sum(e) FILTER (WHERE act = 'm' AND TARGET = 0), 0) AS good_manual_review_credit_exposure,
-  coalesce(sum(e) FILTER (WHERE act = 'a' AND TARGET = 1), 0) AS bad_auto_approve_credit_exposure,
-  coalesce(sum(e) FILTER (WHERE act = 'a' AND TARGET = 0), 0) AS good_auto_approve_credit_exposure
+  CAST(sum(e) AS DOUBLE) AS total_credit_exposure, CAST(coalesce(sum(e) FILTER (WHERE TARGET = 1), 0) AS DOUBLE) AS total_bad_credit_exposure,
+  CAST(coalesce(sum(e) FILTER (WHERE TARGET = 0), 0) AS DOUBLE) AS total_good_credit_exposure,
+  CAST(coalesce(sum(e) FILTER (WHERE act = 'd'), 0) AS DOUBLE) AS direct_decline_credit_exposure,
+  CAST(coalesce(sum(e) FILTER (WHERE act = 'm'), 0) AS DOUBLE) AS manual_review_credit_exposure,
+  CAST(coalesce(sum(e) FILTER (WHERE act = 'a'), 0) AS DOUBLE) AS auto_approve_credit_exposure,
+  CAST(coalesce(sum(e) FILTER (WHERE act = 'd' AND TARGET = 1), 0) AS DOUBLE) AS bad_direct_decline_credit_exposure,
+  CAST(coalesce(sum(e) FILTER (WHERE act = 'd' AND TARGET = 0), 0) AS DOUBLE) AS good_direct_decline_credit_exposure,
+  CAST(coalesce(sum(e) FILTER (WHERE act = 'm' AND TARGET = 1), 0) AS DOUBLE) AS bad_manual_review_credit_exposure,
+  CAST(coalesce(sum(e) FILTER (WHERE act = 'm' AND TARGET = 0), 0) AS DOUBLE) AS good_manual_review_credit_exposure,
+  CAST(coalesce(sum(e) FILTER (WHERE act = 'a' AND TARGET = 1), 0) AS DOUBLE) AS bad_auto_approve_credit_exposure,
+  CAST(coalesce(sum(e) FILTER (WHERE act = 'a' AND TARGET = 0), 0) AS DOUBLE) AS good_auto_approve_credit_exposure
   FROM x GROUP BY amount_cost_scenario, {SPLIT}, decline_pct_target_from_validation, manual_review_pct_target_from_validation),
 v AS (SELECT c.*, med.med * manual_review_cost_rate_of_median_credit AS manual_review_unit_cost,
   bad_direct_decline_credit_exposure + manual_bad_catch_rate * bad_manual_review_credit_exposure AS expected_bad_exposure_saved,
