@@ -75,8 +75,13 @@ def _long(df: DataFrame, table: str) -> DataFrame:
     return df.select(F.explode(F.array(*entries)).alias("c")).select(F.lit(table).alias("table"), "c.*")
 
 
-def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """table, column, dtype, missing_pct, nunique, example_values (3 smallest distinct)."""
+def column_profile(tables: Mapping[str, DataFrame], approx_distinct: bool = False, rsd: float = 0.01) -> DataFrame:
+    """table, column, dtype, missing_pct, nunique, example_values (3 smallest distinct).
+
+    ``approx_distinct=True`` swaps the exact distinct count for HyperLogLog++
+    (``approx_count_distinct``, relative error ``rsd``): one fixed-size sketch
+    per column instead of a shuffle of every distinct value.
+    """
     longs = [_long(df, name) for name, df in tables.items()]
     long = longs[0]
     for p in longs[1:]:
@@ -84,7 +89,7 @@ def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     keys = ["table", "column", "dtype"]
     stats = long.groupBy(*keys).agg(
         F.avg(F.col("value_str").isNull().cast("double")).alias("missing_pct"),
-        F.count_distinct("value_str").alias("nunique"),
+        (F.approx_count_distinct("value_str", rsd) if approx_distinct else F.count_distinct("value_str")).alias("nunique"),
     )
     # Distinct values first (partial aggregation absorbs hot values), then a
     # per-column top-3: Spark plans the rank filter as a partial window group

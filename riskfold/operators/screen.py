@@ -50,13 +50,19 @@ def to_long(df: DataFrame, features: Sequence[str], keys: Sequence[str]) -> Data
     return long.withColumn("value", F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), round_significant(v, VALUE_DIGITS)))
 
 
-def basic_stats(long: DataFrame, split_col: str = "screening_split") -> DataFrame:
+def basic_stats(long: DataFrame, split_col: str = "screening_split", approx_distinct: bool = False) -> DataFrame:
+    """Missing rates and distinct counts per feature for development and validation.
+
+    ``approx_distinct=True`` uses HyperLogLog++ sketches (no Expand of the
+    long table); the default is exact, as the reference computes it.
+    """
     s = F.col(split_col)
+    nd = (lambda c: F.approx_count_distinct(c, 0.01)) if approx_distinct else F.count_distinct
     return long.groupBy("feature").agg(
         F.avg(F.when(s == DEV, F.col("value").isNull().cast("double"))).alias("development_missing_rate"),
         F.avg(F.when(s == VAL, F.col("value").isNull().cast("double"))).alias("validation_missing_rate"),
-        F.count_distinct(F.when(s == DEV, F.col("value"))).alias("development_nunique"),
-        F.count_distinct(F.when(s == VAL, F.col("value"))).alias("validation_nunique"),
+        nd(F.when(s == DEV, F.col("value"))).alias("development_nunique"),
+        nd(F.when(s == VAL, F.col("value"))).alias("validation_nunique"),
     )
 
 

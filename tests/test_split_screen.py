@@ -54,3 +54,19 @@ def test_class_weights_mean_one(spark):
     pdf = pd.DataFrame({"TARGET": [1, 0, 0, 0]})
     w = class_weights(spark.createDataFrame(pdf)).toPandas()["sample_weight"]
     assert abs(w.mean() - 1.0) < 1e-12 and abs(w[0] / w[1] - 3.0) < 1e-12
+
+
+def test_approx_distinct_option_close_to_exact(spark):
+    from riskfold.operators.profile import column_profile
+    from riskfold.operators.screen import basic_stats
+
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame({"SK_ID_CURR": np.arange(3000), "screening_split": np.where(np.arange(3000) % 2 == 0, "development", "validation"),
+                        "TARGET": 0, "v": rng.integers(0, 500, 3000).astype(float)})
+    df = spark.createDataFrame(pdf)
+    long = to_long(df, ["v"], ["SK_ID_CURR", "screening_split", "TARGET"])
+    exact = basic_stats(long).first()
+    approx = basic_stats(long, approx_distinct=True).first()
+    assert abs(approx["development_nunique"] - exact["development_nunique"]) <= 0.05 * exact["development_nunique"]
+    prof = {r["column"]: r["nunique"] for r in column_profile({"t": df.select("v")}, approx_distinct=True).collect()}
+    assert abs(prof["v"] - pdf["v"].nunique()) <= 0.05 * pdf["v"].nunique()
