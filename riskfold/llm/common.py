@@ -29,7 +29,7 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     and values drawn from physical placement (partition numbers) stay fixed.
     """
     path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfold.llm import token_orc
-from riskfold.llm.common import read_table, shared_path
+from riskfold.llm import packing, sharding, token_orc
+from riskfold.llm.common import read_table, shared_path, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,27 @@ def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = token_orc.ids_crc32(token_orc.read_positions(spark, path))
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@register
+def op3_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards, shard sizes at most one row apart."""
+    placed = sharding.shuffle_shards(read_table(spark, sf_dir, "documents", "doc_id", "text"), n_shards=16)
+    text = F.encode(text_of("text"), "utf-8")
+    return placed.select(
+        "doc_id",
+        (F.length(text).cast("long") + 1).alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@register
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces, packed into sequences of 2048."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    pieces = packing.token_pieces(docs, tokenizer_file("word_bpe_49k.json"), end_id=0, capacity=2048)
+    return packing.pack_pieces(token_orc.ids_crc32(pieces), 2048)
