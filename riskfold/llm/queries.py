@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfold.llm import packing, sharding, token_orc
+from riskfold.llm import packing, quality, sharding, simhash, token_orc
 from riskfold.llm.common import read_table, shared_path, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,19 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     pieces = packing.token_pieces(docs, tokenizer_file("word_bpe_49k.json"), end_id=0, capacity=2048)
     return packing.pack_pieces(token_orc.ids_crc32(pieces), 2048)
+
+
+@register
+def op10_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 4-word shingles, at most 4 bits apart."""
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"), words=4, max_bits=4)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+@register
+def op5_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from the labels outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    weights = quality.train(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
+    scored = quality.score(docs, weights, threshold=0.7)
+    return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
