@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfold.llm import packing, quality, sharding, simhash, token_orc
+from riskfold.llm import decontaminate, line_dedup, packing, quality, sharding, simhash, token_orc
 from riskfold.llm.common import read_table, shared_path, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,18 @@ def op5_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = quality.train(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
     scored = quality.score(docs, weights, threshold=0.7)
     return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@register
+def op2_winnowing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the line runs of 20 words or more that an earlier place has."""
+    return line_dedup.dedup_lines(read_table(spark, sf_dir, "documents", "doc_id", "text"), min_words=20)
+
+
+@register
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, exact or edited, with the item and the passage."""
+    found = decontaminate.find_matches(
+        read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "benchmark", "item_id", "text")
+    )
+    return found.drop("text_key")
