@@ -62,7 +62,7 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, spaced)
         for batch in batches:
-            for at, part in slices(x.as_py() for x in batch.column(1)):
+            for at, part in slices(batch.column(1)):
                 ids, counts = enc.encode(part)
                 ids = np.insert(ids, np.cumsum(counts), end_id)
                 counts = counts + 1

@@ -43,8 +43,7 @@ def _encode_rows(tokenizer: str, spaced: bool, end_id: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, position = encoder(tokenizer, spaced), 0
         for batch in batches:
-            texts = (x.as_py() for x in batch.column(2))
-            for at, part in slices(texts):
+            for at, part in slices(batch.column(2)):
                 ids, counts = enc.encode(part)
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id)

@@ -13,20 +13,32 @@ Texts with runs of white space take the plain whole-text call.
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_TAIL = re.compile(r"(.*[^\W_])([!-/:-@\[-^`{-~]+)", re.DOTALL)
+_TAIL = r"^(?s)(?P<core>.*[\pL\pN])(?P<tail>[!-/:-@\[-^`{-~]+)$"
 
-#: Characters of text handled at once, and chunks after which a worker's cache starts anew.
-SLICE_CHARS = 1_000_000
+#: Bytes of text handled at once, and chunks after which a worker's cache starts anew.
+SLICE_BYTES = 4_000_000
 CACHE_CHUNKS = 1_000_000
 
 
+def _strings(column: pa.StringArray) -> list[str | None]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: itself where printable."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
 class ChunkEncoder:
     """Ids of texts for one tokenizer file.
 
@@ -40,6 +52,8 @@ class ChunkEncoder:
 
         self._tok = Tokenizer.from_file(path)
         self._tok.encode_special_tokens = True  # special strings in a text are ordinary text
+        self._model = self._tok.model
+        self._bytes = _byte_letters()
         self._spaced = spaced
         self._cap = cache_chunks
         self._reset()
@@ -48,6 +62,7 @@ class ChunkEncoder:
         self._index: dict = {}  # chunk -> number; a punctuation tail is kept as (tail,)
         self._start = np.zeros(1024, np.int64)
         self._len = np.zeros(1024, np.int64)
+        self._odd = np.zeros(1024, bool)
         self._pool = np.zeros(4096, np.int32)
         self._known = self._used = 0
 
@@ -57,17 +72,29 @@ class ChunkEncoder:
     def _add(self, chunks: list, ids: np.ndarray, lens: np.ndarray) -> None:
         k, n, u = self._known, len(chunks), self._used
         while k + n > len(self._len):
-            self._start, self._len = np.resize(self._start, 2 * len(self._len)), np.resize(self._len, 2 * len(self._len))
+            self._start, self._len, self._odd = (np.resize(x, 2 * len(x)) for x in (self._start, self._len, self._odd))
         while u + len(ids) > len(self._pool):
             self._pool = np.resize(self._pool, 2 * len(self._pool))
         self._pool[u : u + len(ids)] = ids
         self._len[k : k + n] = lens
         self._start[k : k + n] = u + np.cumsum(lens) - lens
+        self._odd[k : k + n] = False
         self._index.update(zip(chunks, range(k, k + n), strict=True))
         self._known, self._used = k + n, u + len(ids)
 
     def _add_texts(self, chunks: list, texts: list[str]) -> None:
-        ids = self._encode(texts)
+        self._add_ids(chunks, self._encode(texts))
+
+    def _add_words(self, words: list[str]) -> None:
+        """Add chunks of Latin letters: one pre-token each, so the merges apply to them directly."""
+        model, letters = self._model.tokenize, self._bytes
+        if self._spaced:
+            plain = [" " + w for w in words]
+        else:
+            plain = [w.lower() for w in words]
+        self._add_ids(words, [[t.id for t in model(w.encode().decode("latin-1").translate(letters))] for w in plain])
+
+    def _add_ids(self, chunks: list, ids: list[list[int]]) -> None:
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
         self._add(chunks, np.fromiter(chain.from_iterable(ids), np.int32, int(lens.sum())), lens)
 
@@ -79,56 +106,69 @@ class ChunkEncoder:
         take += np.arange(len(take))
         return self._pool[take], lens
 
-    def _learn(self, missing: set[str]) -> None:
-        split = {c: m.groups() for c in missing if (m := _TAIL.fullmatch(c))}
-        fresh = list({split[c][0] if c in split else c for c in missing} - self._index.keys())
+    def _learn(self, missing: list[str]) -> None:
+        """Add chunks: words are encoded, and a word with a punctuation tail is joined from both."""
+        if self._spaced:
+            odd = [w for w in missing if w == "\n" or len(w.split()) != 1 or w[-1].isspace() or w.lstrip("\n")[:1].isspace()]
+            if odd:
+                self._add(odd, np.zeros(0, np.int32), np.zeros(len(odd), np.int64))
+                self._odd[self._known - len(odd) : self._known] = True
+                missing = [w for w in missing if w not in self._index]
+        parts = pc.extract_regex(pa.array(missing, pa.string()), _TAIL)
+        cores = _strings(pc.fill_null(pc.struct_field(parts, "core"), pa.array(missing, pa.string())))
+        tails = _strings(pc.struct_field(parts, "tail"))
+        known = self._index
+        words, fresh = [], []
+        for c in set(cores):
+            if c not in known:
+                (words if c.isalpha() and (c.isascii() or max(c) < "\u0130") else fresh).append(c)
+        self._add_words(words)
         space = " " if self._spaced else ""
         self._add_texts(fresh, [c if c[:1] == "\n" else space + c for c in fresh])
-        marks = list({t for _, t in split.values() if (t,) not in self._index})
+        marks = [t for t in set(tails) if t is not None and (t,) not in known]
         self._add_texts([(t,) for t in marks], marks)
-        joined = [c for c in split if c not in self._index]
-        pairs = np.fromiter((self._index[k] for c in joined for k in (split[c][0], (split[c][1],))), np.int64, 2 * len(joined))
-        ids, lens = self._gather(pairs)
-        self._add(joined, ids, lens[0::2] + lens[1::2])
-
-    def _chunks(self, text: str) -> list[str] | None:
-        """The text's chunks, or None where it must be encoded in one piece."""
-        if not self._spaced:
-            return [c for c in text.replace("\n", " ").split(" ") if c]
-        chunks = text.replace("\n", " \n").split(" ")
-        if "" in chunks or "\n" in chunks or len(text.split()) != len(chunks):
-            return None  # white space beside white space or at an end, or another kind of it
-        return chunks
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in one int32 array, and the number of ids of each text."""
+        joined = [(m, known[c], known[(t,)]) for m, c, t in zip(missing, cores, tails, strict=True) if t is not None and m not in known]
+        ids, lens = self._gather(np.array([k for j in joined for k in j[1:]], np.int64))
+        self._add([j[0] for j in joined], ids, lens[0::2] + lens[1::2])
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in one int32 array, and the number of ids of each text (no text may be null)."""
         if self._known > self._cap:
             self._reset()
-        flat: list[str] = []
-        sizes = np.zeros(len(texts), np.int64)
-        apart: dict[int, str] = {}  # encoded as written: whole texts, and first chunks (no space before)
-        for i, text in enumerate(texts):
-            chunks = self._chunks(text) if text else []
-            if chunks is None:
-                apart[i] = text
-                continue
-            if self._spaced and chunks:
-                apart[i] = chunks.pop(0)
-            sizes[i] = len(chunks)
-            flat += chunks
-        at = np.fromiter(map(self._index.get, flat, repeat(-1)), np.int64, len(flat))
+        if not self._known:
+            self._add([""], np.zeros(0, np.int32), np.zeros(1, np.int64))
+            self._odd[0] = self._spaced
+        spread = pc.replace_substring(texts, "\n", " \n" if self._spaced else " ")
+        chunks = pc.split_pattern(spread, " ")
+        edge = chunks.offsets.to_numpy()
+        edge = edge - edge[0]
+        coded = chunks.flatten().dictionary_encode()
+        words = _strings(coded.dictionary)
+        at = np.fromiter(map(self._index.get, words, repeat(-1)), np.int64, len(words))
         if (gone := np.flatnonzero(at < 0)).size:
-            self._learn({flat[i] for i in gone})
-            at[gone] = [self._index[flat[i]] for i in gone]
+            self._learn([words[i] for i in gone])
+            at[gone] = [self._index[words[i]] for i in gone]
+        which = coded.indices.to_numpy()
+        at = at[which]
+        apart: dict[int, str] = {}  # encoded as written: whole texts, and first chunks (no space before)
+        if self._spaced:
+            # white space beside white space or at an end, or another kind of it: in one piece
+            odd = self._odd[at]
+            for i in range(len(texts)):
+                a, b = edge[i], edge[i + 1]
+                if odd[a:b].any():
+                    apart[i] = texts[i].as_py()
+                    at[a:b] = 0
+                else:
+                    apart[i] = words[which[a]]
+                    at[a] = 0
         ids, lens = self._gather(at)
-        before = np.concatenate([[0], np.cumsum(lens)])
-        edge = before[np.concatenate([[0], np.cumsum(sizes)])]
-        counts = np.diff(edge)
+        before = np.concatenate([[0], np.cumsum(lens)])[edge]
+        counts = np.diff(before)
         if apart:
             own = {i: np.array(x, np.int32) for i, x in zip(apart, self._encode(list(apart.values())), strict=True)}
-            none = np.zeros(0, np.int32)
-            ids = np.concatenate([x for i in range(len(texts)) for x in (own.get(i, none), ids[edge[i] : edge[i + 1]])])
-            counts = counts + [len(own.get(i, none)) for i in range(len(texts))]
+            ids = np.concatenate([x for i in range(len(texts)) for x in (own[i], ids[before[i] : before[i + 1]])] or [ids])
+            counts = counts + [len(own[i]) for i in range(len(texts))]
         return ids, counts
 
 
@@ -138,14 +178,12 @@ def encoder(path: str, spaced: bool) -> ChunkEncoder:
     return ChunkEncoder(path, spaced)
 
 
-def slices(texts: Iterable[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, list[str]]]:
-    """(first position, texts) pieces of about ``limit`` characters; a longer text stands alone."""
-    at, part, chars = 0, [], 0
-    for text in texts:
-        if part and chars + len(text) > limit:
-            yield at, part
-            at, part, chars = at + len(part), [], 0
-        part.append(text)
-        chars += len(text)
-    if part:
-        yield at, part
+def slices(texts: pa.StringArray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa.StringArray]]:
+    """(first position, texts) pieces of about ``limit`` bytes; a longer text stands alone."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        yield at, texts.slice(at, to - at)
+        at = to
