@@ -7,12 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskfold.llm import decontaminate, line_dedup, packing, quality, sharding, simhash, token_orc
+from riskfold.llm import (
+    decontaminate,
+    licenses,
+    line_dedup,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    surrogates,
+    threshold_topk,
+    token_orc,
+)
 from riskfold.llm.common import read_table, shared_path, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+#: Key of the catalogue's surrogates; a real run passes its own secret.
+SURROGATE_KEY = "catalogue"
+
 
 def register(fn: Callable[[SparkSession, str], DataFrame]):
     QUERIES[fn.__name__] = fn
@@ -90,3 +104,29 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "benchmark", "item_id", "text")
     )
     return found.drop("text_key")
+
+
+@register
+def op6_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every twentieth vector with all others."""
+    rows = threshold_topk.quantised(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    found = threshold_topk.top_k(rows, rows.filter("id % 20 = 0"), k=20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@register
+def op7_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licence sentences and licences of all documents."""
+    found = licenses.scan_licenses(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.array_join("sentence_ids", " ").alias("sentence_ids"),
+        F.array_join("licenses", " ").alias("licenses"),
+        F.array_join("loose_ids", " ").alias("loose_ids"),
+    )
+
+
+@register
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced by surrogates."""
+    return surrogates.replace_entities(read_table(spark, sf_dir, "documents", "doc_id", "text"), key=SURROGATE_KEY)
