@@ -97,9 +97,11 @@ def repeated_windows(docs: DataFrame, min_words: int, id_col: str = "doc_id", te
     return later.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated runs cut from the text, and ``lines_removed`` (int)."""
-    kept = without(docs, ["lines_removed"])
+def dedup_lines(
+    docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text", removed_col: str = "lines_removed"
+) -> DataFrame:
+    """``docs`` with repeated runs cut from the text, and ``removed_col`` (int), the number of lines cut."""
+    kept = without(docs, [removed_col])
     runs = saved(repeated_windows(docs, min_words, id_col, text_col), "line-runs").select(
         F.col("doc_id").alias("_run_id"), F.col("text_key").alias("_run_key"), F.col("runs").alias("_runs")
     )
@@ -108,10 +110,10 @@ def dedup_lines(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", te
     rest = F.filter(lines, lambda _, i: ~F.exists("_runs", lambda r: i.between(r["first"], r["last"])))
     hit = F.col("_runs").isNotNull()
     cut = kept.join(runs, same, "left").withColumn("_rest", F.when(hit, rest))
-    return cut.withColumn("lines_removed", F.when(hit, F.size(lines) - F.size("_rest")).otherwise(0)).select(
+    return cut.withColumn(removed_col, F.when(hit, F.size(lines) - F.size("_rest")).otherwise(0)).select(
         *[
             F.when(hit, F.array_join("_rest", "\n")).otherwise(F.col(text_col)).alias(c) if c == text_col else F.col(f"`{c}`")
             for c in kept.columns
         ],
-        "lines_removed",
+        removed_col,
     )

@@ -152,14 +152,21 @@ def train(
     return weights
 
 
-def score(docs: DataFrame, weights: np.ndarray, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
+def score(
+    docs: DataFrame,
+    weights: np.ndarray,
+    threshold: float = 0.7,
+    text_col: str = "text",
+    score_col: str = "score",
+    predicted_col: str = "predicted",
+) -> DataFrame:
+    """``docs`` with ``score_col`` (0 to 1) and ``predicted_col`` (1 from ``threshold`` on).
 
     Every row is scored on its whole text; a NULL or empty text has the score
     of the constant alone; columns named like the results give way to them.
     """
-    kept = without(docs, ["score", "predicted"])
-    out = T.StructType([*kept.schema, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    kept = without(docs, [score_col, predicted_col])
+    out = T.StructType([*kept.schema, T.StructField(score_col, T.DoubleType()), T.StructField(predicted_col, T.IntegerType())])
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     at = [c.lower() for c in kept.columns].index(text_col.lower())
 
