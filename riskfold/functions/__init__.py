@@ -6,7 +6,6 @@ from riskfold.functions.core import (  # noqa: F401
     clip_lower,
     col_or_expr,
     flag,
-    hash_unit,
     level_score,
     pd_to_points,
     row_max,

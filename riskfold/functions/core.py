@@ -109,18 +109,6 @@ def pd_to_points(p: str | Column) -> Column:
     return F.lit(POINTS_OFFSET) + F.lit(POINTS_FACTOR) * F.log((F.lit(1.0) - q) / q)
 
 
-def hash_unit(key: str | Column, salt: str = "") -> Column:
-    """Deterministic uniform number in [0, 1) from the md5 of ``key || salt``.
-
-    Uses the first 32 bits of the hex digest, so any SQL engine with ``md5``
-    reproduces it exactly.
-    """
-    s = col_or_expr(key).cast("string")
-    if salt:
-        s = F.concat(s, F.lit(salt))
-    return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
-
-
 def bucket_right(x: str | Column, edges: Column) -> Column:
     """Right-closed bin index over a sorted edge array (``pd.cut`` convention).
 

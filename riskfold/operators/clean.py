@@ -91,7 +91,7 @@ def clean_day_sentinels(df: DataFrame) -> DataFrame:
     """Flag (only when present) and NULL the 365243 sentinel in ``DAYS*`` columns."""
     cols = day_columns(df)
     counts = sentinel_counts(df).first().asDict()  # one bounded row
-    flags = {f"{c}{SENTINEL_SUFFIX}": (F.col(c) == SENTINEL).cast("int") for c in cols if counts[c] > 0}
+    flags = {f"{c}{SENTINEL_SUFFIX}": F.coalesce(F.col(c) == SENTINEL, F.lit(False)).cast("int") for c in cols if counts[c] > 0}
     nulled = {c: F.when(F.col(c) != SENTINEL, F.col(c)) for c in cols if counts[c] > 0}
     out = df.withColumns(flags) if flags else df
     return out.withColumns(nulled) if nulled else out

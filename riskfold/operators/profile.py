@@ -69,7 +69,7 @@ def _long(df: DataFrame, table: str) -> DataFrame:
                 F.lit(f.dataType.simpleString()).alias("dtype"),
                 c.cast("string").alias("value_str"),
                 (c.cast("double") if numeric else F.lit(None).cast("double")).alias("value_num"),
-                (c.cast("decimal(38,6)").cast("string") if fractional else c.cast("string")).alias("value_show"),
+                (F.expr(f"try_cast(`{f.name}` AS DECIMAL(38,6))").cast("string") if fractional else c.cast("string")).alias("value_show"),
             )
         )
     return df.select(F.explode(F.array(*entries)).alias("c")).select(F.lit(table).alias("table"), "c.*")

@@ -49,6 +49,28 @@ def _ordered(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
     return tagged.checkpoint(eager=True)
 
 
+#: Rows of a per-(partition, group) or quantile-position table up to which it is broadcast.
+BROADCAST_ROWS = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``BROADCAST_ROWS`` rows (counted, not estimated)."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` in which NULL keys meet; the left side's key columns stay."""
+    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    match = F.lit(True)
+    for c in on:
+        match = match & F.col(f"`{c}`").eqNullSafe(F.col(f"`_right_{c}`"))
+    return left.join(renamed, match, how).drop(*[f"_right_{c}" for c in on])
+
+
+def _with_stats(rows: DataFrame, stats: DataFrame, g: Sequence[str]) -> DataFrame:
+    return null_safe_join(rows, small(stats) if g else F.broadcast(stats), [PID, *g])
+
+
 def global_rank(
     df: DataFrame,
     order: Sequence[Column],
@@ -66,7 +88,7 @@ def global_rank(
     stats = tagged.groupBy(PID, *g).agg(F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_first"))
     w = Window.partitionBy(*g).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    out = tagged.join(F.broadcast(stats.select(PID, *g, "_off", "_first")), [PID, *g])
+    out = _with_stats(tagged, stats.select(PID, *g, "_off", "_first"), g)
     return out.withColumn(rank_col, F.col("_off") + F.col(POS) - F.col("_first") + 1).drop(PID, POS, "_off", "_first")
 
 
@@ -86,7 +108,7 @@ def prefix_sums(
     stats = tagged.groupBy(PID, *g).agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in values])
     w = Window.partitionBy(*g).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.select(PID, *g, *[F.coalesce(F.sum(f"_t_{k}").over(w), F.lit(0)).alias(f"_o_{k}") for k in values])
-    out = local.join(F.broadcast(stats), [PID, *g])
+    out = _with_stats(local, stats, g)
     out = out.withColumns({k: F.col(k) + F.col(f"_o_{k}") for k in values})
     return out.drop(PID, POS, *[f"_v_{k}" for k in values], *[f"_o_{k}" for k in values])
 
@@ -115,8 +137,13 @@ def exact_quantiles(
     pos = counts.select(*g, "_n", F.posexplode(prob_arr).alias("prob_idx", "prob"))
     pos = pos.withColumn("_h", (F.col("_n") - 1) * F.col("prob"))
     pos = pos.withColumn("_lo", F.floor("_h") + 1).withColumn("_hi", F.ceil("_h") + 1)
-    lo = pos.join(ranked.select(*g, F.col("_r").alias("_lo"), F.col("_x").alias("_xlo")), [*g, "_lo"])
-    both = lo.join(ranked.select(*g, F.col("_r").alias("_hi"), F.col("_x").alias("_xhi")), [*g, "_hi"])
+    # both neighbours of every position in one pass over the ranked rows
+    wanted = small(pos.select(*g, "prob_idx", "prob", "_h", "_lo", "_hi", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r")))
+    met = null_safe_join(ranked.select(*g, "_r", "_x"), wanted, [*g, "_r"])
+    both = met.groupBy(*g, "prob_idx", "prob", "_h", "_lo", "_hi").agg(
+        F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_x"))).alias("_xlo"),
+        F.max(F.when(F.col("_r") == F.col("_hi"), F.col("_x"))).alias("_xhi"),
+    )
     t = F.col("_h") - (F.col("_lo") - 1)
     a, b = F.col("_xlo"), F.col("_xhi")
     # numpy's linear interpolation: a + (b-a)t below t=0.5, b - (b-a)(1-t) above.

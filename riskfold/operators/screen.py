@@ -33,21 +33,17 @@ EPS = 1e-6
 DEV, VAL = "development", "validation"
 
 
-VALUE_DIGITS = 12
-
-
-def to_long(df: DataFrame, features: Sequence[str], keys: Sequence[str]) -> DataFrame:
+def to_long(df: DataFrame, features: Sequence[str], keys: Sequence[str], digits: int | None = None) -> DataFrame:
     """Wide candidate matrix -> (keys..., feature, value double); +-inf/NaN -> NULL.
 
-    Values are normalised to 12 significant digits: rank statistics depend on
-    exact ties, and floating-point noise in the last bits (0.6 vs
-    0.6000000000000001 from different summation orders) must not create
-    spurious distinct values.
+    Values stay exact unless ``digits`` asks for that many significant ones:
+    rank statistics depend on exact ties, so values whose last bits are noise
+    (0.6 and 0.6000000000000001 from two summation orders) can be merged.
     """
     entries = [F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").cast("double").alias("value")) for f in features]
     long = df.select(*keys, F.explode(F.array(*entries)).alias("_e")).select(*keys, "_e.feature", "_e.value")
     v = F.col("value")
-    return long.withColumn("value", F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), round_significant(v, VALUE_DIGITS)))
+    return long.withColumn("value", F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v if digits is None else round_significant(v, digits)))
 
 
 def basic_stats(long: DataFrame, split_col: str = "screening_split", approx_distinct: bool = False) -> DataFrame:

@@ -29,7 +29,7 @@ HISTORY_COUNT_COLUMNS = (
     "pos_month_count",
 )
 ZERO_FILL_PREFIXES = ("bureau_", "previous_", "installment_", "credit_card_", "pos_")
-ZERO_FILL_SUFFIXES = ("_count", "_sum", "_month_count", "_loan_count", "_contract_count", "_application_count", "_record_count")
+ZERO_FILL_SUFFIXES = ("_count", "_sum")
 GROUP_ORDER = (
     "current_application",
     "external_credit_history",

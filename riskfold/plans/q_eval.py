@@ -14,7 +14,7 @@ from riskfold.plans.registry import register
 from riskfold.plans.sqlkit import duck_round, npq, npq_list
 
 DECILES = [i / 10 for i in range(11)]
-from riskfold.session import ensure_checkpoint_dir
+from riskfold.session import materialise
 
 KEY, SPLIT = "SK_ID_CURR", "screening_split"
 
@@ -24,18 +24,17 @@ KEY, SPLIT = "SK_ID_CURR", "screening_split"
 # ---------------------------------------------------------------------------
 
 def scored_population(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score once: split, points, grades, action; materialised (checkpoint) for reuse."""
+    """Score once: split, points, grades, action; materialised for reuse."""
     from riskfold.plans.q_screen import memo
 
     def build():
         base = BD.spark_role(spark, sf_dir, "scoring")
         split = E.assign_split(base.select(KEY, "dataset", "TARGET"))
         pop = K.add_points(base.join(split.select(KEY, SPLIT), KEY))
-        ensure_checkpoint_dir(spark)
-        pop = pop.checkpoint(eager=True)
+        pop = materialise(pop, "q_eval")
         pop = K.add_grades(pop, K.grade_edges(pop))
         manual, decline = K.strategy_cutoffs(pop)
-        return K.assign_strategy(pop, manual, decline).checkpoint(eager=True)
+        return materialise(K.assign_strategy(pop, manual, decline), "q_eval")
 
     return memo("scored_population", spark, sf_dir, build)
 

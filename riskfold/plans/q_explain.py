@@ -20,7 +20,7 @@ from riskfold.plans.q_eval import DECILES, KEY, SPLIT, _dbl, points_sql
 from riskfold.plans.q_screen import _split_sql, memo
 from riskfold.plans.registry import register
 from riskfold.plans.sqlkit import duck_round, npq, npq_list
-from riskfold.session import ensure_checkpoint_dir
+from riskfold.session import materialise
 
 # Fixed linear scorer: (feature, coefficient on the standardised value) and bias.
 LINEAR = (
@@ -52,8 +52,7 @@ def applicant_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         fs = QS.feature_store(spark, sf_dir)
         split = E.assign_split(fs.select(KEY, "dataset", "TARGET"))
         base = fs.select(KEY, "dataset", "TARGET", *KEEP).join(split.select(KEY, SPLIT), KEY)
-        ensure_checkpoint_dir(spark)
-        base = base.checkpoint(eager=True)
+        base = materialise(base, "q_explain")
         dev = base.filter(F.col(SPLIT) == "development")
         st = dev.agg(*[x for f in FEATURES for x in (F.avg(f).alias(f"m_{f}"), F.stddev_pop(f).alias(f"s_{f}"))]).first()
         z = {}
@@ -65,10 +64,10 @@ def applicant_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         logit = F.lit(BIAS)
         for f, b in LINEAR:
             logit = logit + F.lit(b) * F.coalesce(F.col(f"z_{f}"), F.lit(0.0))
-        pop = K.add_points(pop.withColumn("pd", sigmoid(logit))).checkpoint(eager=True)
+        pop = materialise(K.add_points(pop.withColumn("pd", sigmoid(logit))), "q_explain")
         pop = K.add_grades(pop, K.grade_edges(pop))
         manual, decline = K.strategy_cutoffs(pop)
-        return K.assign_strategy(pop, manual, decline).checkpoint(eager=True)
+        return materialise(K.assign_strategy(pop, manual, decline), "q_explain")
 
     return memo("applicant_scored", spark, sf_dir, build)
 

@@ -6,6 +6,7 @@ not SQL); their building blocks are unit-tested separately.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +15,10 @@ from riskfold.operators import models as M
 from riskfold.operators import screen as SC
 from riskfold.plans.q_screen import candidate_wide, memo, screening_report
 from riskfold.plans.registry import register
+from riskfold.session import materialise
 
 
-def pruned_report(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str], list[list[float]], list[str]]:
+def pruned_report(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str], np.ndarray, list[str]]:
     """Screening report + correlation-prune columns + selection stage; shortlist names."""
 
     def build():
@@ -24,22 +26,14 @@ def pruned_report(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str
         rows = sorted((r.asDict() for r in rep.collect()),  # one row per candidate feature (bounded)
                       key=lambda r: (not r["univariate_pass"], -(r["screening_score"] or 0.0), r["candidate_feature"]))
         passing = [r["candidate_feature"] for r in rows if r["univariate_pass"]]
-        selected = passing[: M.CORR_MAX_FEATURES]
         wide, _, _ = candidate_wide(spark, sf_dir)
         dev = wide.filter(F.col("screening_split") == "development")
-        corr = M.correlation_matrix(dev, selected) if len(selected) > 1 else [[1.0]] * len(selected)
-        decisions = M.correlation_prune(rows, corr, selected)
-        for f in passing[M.CORR_MAX_FEATURES:]:
-            decisions[f] = {"corr_keep": False, "corr_drop_with": "", "corr_drop_abs_corr": None, "corr_drop_reason": "beyond_cap"}
-        dec_rows = [
-            (f, bool(d["corr_keep"]), M.CORR_PRUNE, d["corr_drop_with"],
-             None if d["corr_drop_abs_corr"] is None else float(d["corr_drop_abs_corr"]), d["corr_drop_reason"])
-            for f, d in decisions.items()
-        ]
+        corr = M.correlation_matrix(dev, passing) if len(passing) > 1 else np.eye(len(passing))
+        scores = {r["candidate_feature"]: r["screening_score"] or 0.0 for r in rows}
+        decisions = M.correlation_prune(passing, [scores[f] for f in passing], corr)
         dec = spark.createDataFrame(
-            dec_rows,
-            "candidate_feature string, _keep boolean, corr_prune_threshold double, corr_drop_with string, "
-            "corr_drop_abs_corr double, corr_drop_reason string",
+            [(d["candidate_feature"], d["corr_keep"], d["corr_drop_with"], d["corr_drop_abs_corr"], d["corr_drop_reason"]) for d in decisions],
+            "candidate_feature string, _keep boolean, corr_drop_with string, corr_drop_abs_corr double, corr_drop_reason string",
         )
         out = rep.join(F.broadcast(dec), "candidate_feature", "left")
         out = out.withColumn("corr_keep", F.col("univariate_pass") & F.coalesce(F.col("_keep"), F.lit(False))).drop("_keep")
@@ -48,8 +42,8 @@ def pruned_report(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str
         out = out.withColumn("corr_drop_reason", F.coalesce("corr_drop_reason", F.lit("")))
         out = out.withColumn("final_stat_shortlist", F.col("univariate_pass") & F.col("corr_keep"))
         out = SC.selection_stage(out)
-        shortlist = [f for f in selected if decisions[f]["corr_keep"]]
-        return out, shortlist, corr, selected
+        shortlist = [d["candidate_feature"] for d in decisions if d["corr_keep"]]
+        return out, shortlist, corr, passing
 
     return memo("pruned_report", spark, sf_dir, build)
 
@@ -67,13 +61,18 @@ def q_group_shortlist(spark, sf_dir):
 @register("correlation_pairs")
 def q_correlation_pairs(spark, sf_dir):
     rep, _, corr, selected = pruned_report(spark, sf_dir)
-    pairs = [
-        (selected[i], selected[j], float(corr[i][j]))
-        for i in range(len(selected))
-        for j in range(i + 1, len(selected))
-        if corr[i][j] >= M.CORR_EXPORT
-    ]  # from the bounded p x p matrix, never from rows
-    p = spark.createDataFrame(pairs, "feature_a string, feature_b string, abs_corr_development double")
+    # each feature's row of the matrix is a row here; its pairs are made by the tasks
+    matrix = spark.createDataFrame(
+        [(i, f, corr[i, i + 1 :].tolist()) for i, f in enumerate(selected)], "i int, feature_a string, after array<double>"
+    )
+    names = spark.createDataFrame(list(enumerate(selected)), "j int, feature_b string")
+    p = (
+        matrix.select("i", "feature_a", F.posexplode("after").alias("d", "abs_corr_development"))
+        .filter(F.col("abs_corr_development") >= M.CORR_EXPORT)
+        .withColumn("j", F.col("i") + F.col("d") + 1)
+        .join(names, "j")
+        .select("feature_a", "feature_b", "abs_corr_development")
+    )
     meta = rep.select("candidate_feature", "feature_group", "screening_score", "auc_power", "iv",
                       "development_missing_rate", "final_stat_shortlist")
     a = meta.select(*[F.col(c).alias(("feature_a" if c == "candidate_feature" else f"feature_a_{c}")) for c in meta.columns])
@@ -92,7 +91,7 @@ def design(spark: SparkSession, sf_dir: str):
         _, shortlist, _, _ = pruned_report(spark, sf_dir)
         wide, _, _ = candidate_wide(spark, sf_dir)
         d, names = M.design_matrix(wide, shortlist)
-        return d.checkpoint(eager=True), names
+        return materialise(d, "q_models"), names
 
     return memo("design", spark, sf_dir, build)
 
@@ -101,7 +100,7 @@ def logit(spark: SparkSession, sf_dir: str):
     def build():
         d, names = design(spark, sf_dir)
         model, scored = M.fit_logit(d)
-        return model, scored.checkpoint(eager=True), names
+        return model, materialise(scored, "q_models"), names
 
     return memo("logit", spark, sf_dir, build)
 
@@ -110,7 +109,7 @@ def gbt(spark: SparkSession, sf_dir: str):
     def build():
         d, names = design(spark, sf_dir)
         model, scored = M.fit_gbt(d)
-        return model, scored.checkpoint(eager=True), names
+        return model, materialise(scored, "q_models"), names
 
     return memo("gbt", spark, sf_dir, build)
 
@@ -161,7 +160,7 @@ def q_model_card(spark, sf_dir):
     lm, ls, ln = logit(spark, sf_dir)
     gm, gs, gn = gbt(spark, sf_dir)
     a = M.model_card(spark, "logistic_l2", lm, ln, {"regParam": M.L2, "weights": "class_balanced"}, _metrics(ls))
-    b = M.model_card(spark, "gradient_boosted_trees", gm, gn, {"stepSize": 0.03, "maxDepth": 5, "trees": gm.getNumTrees},
+    b = M.model_card(spark, "gradient_boosted_trees", gm, gn, {"stepSize": M.GBT_STEP, "maxDepth": 5, "minLeafRows": M.GBT_LEAF_ROWS, "trees": gm.getNumTrees, "features": len(gn)},
                      _metrics(gs))
     return a.unionByName(b)
 

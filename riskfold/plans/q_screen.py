@@ -13,10 +13,13 @@ from riskfold.operators import store as S
 from riskfold.plans import q_store as QS
 from riskfold.plans.registry import register
 from riskfold.plans.sqlkit import duck_round, npq, npq_list, sig_round_sql
-from riskfold.session import ensure_checkpoint_dir
+from riskfold.session import materialise
 
 KEYS = ["SK_ID_CURR", "screening_split", "TARGET"]
 
+#: The catalogue compares two engines that sum in different orders: values that differ past the twelfth digit are one.
+VALUE_DIGITS = 12
+
 
 # ---------------------------------------------------------------------------
 # Spark side
@@ -33,13 +36,18 @@ _MEMO: dict = {}
 
 
 def memo(name: str, spark: SparkSession, sf_dir: str, build):
-    """Per-session cache of materialised (checkpointed) intermediates."""
+    """Per-session cache of materialised intermediates; :func:`release` empties it."""
     key = (name, spark.sparkContext.applicationId, sf_dir)
     if key not in _MEMO:
         _MEMO[key] = build()
     return _MEMO[key]
 
 
+def release() -> None:
+    """Forget all cached intermediates (after the files under a path changed, or between timed runs)."""
+    _MEMO.clear()
+
+
 def candidate_wide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str], DataFrame]:
     """Encoded wide candidate matrix (checkpointed), candidate names and manifest."""
 
@@ -53,8 +61,7 @@ def candidate_wide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[st
         man += [(n, o, enc_name, store_groups.get(o, "current_application")) for n, o, enc_name in rows]
         manifest = spark.createDataFrame(man, "candidate_feature string, original_feature string, encoding string, feature_group string")
         names = [m[0] for m in man]
-        ensure_checkpoint_dir(spark)
-        wide = enc.select(*KEYS, *[F.col(f"`{n}`") for n in names]).checkpoint(eager=True)
+        wide = materialise(enc.select(*KEYS, *[F.col(f"`{n}`") for n in names]), "q_screen")
         return wide, names, manifest
 
     return memo("candidate_wide", spark, sf_dir, build)
@@ -65,7 +72,7 @@ def candidate_long(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
     def build():
         wide, names, manifest = candidate_wide(spark, sf_dir)
-        return SC.to_long(wide, names, KEYS).checkpoint(eager=True), manifest
+        return materialise(SC.to_long(wide, names, KEYS, digits=VALUE_DIGITS), "q_screen"), manifest
 
     return memo("candidate_long", spark, sf_dir, build)
 
@@ -143,7 +150,7 @@ REPORT_COLS = [
 def screening_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         long, manifest = candidate_long(spark, sf_dir)
-        return SC.screen(long, manifest).select(*REPORT_COLS).checkpoint(eager=True)
+        return materialise(SC.screen(long, manifest).select(*REPORT_COLS), "q_screen")
 
     return memo("screening_report", spark, sf_dir, build)
 
@@ -230,7 +237,7 @@ oh_long AS (SELECT lv.SK_ID_CURR, lv.screening_split, lv.TARGET,
 long0 AS (SELECT SK_ID_CURR, screening_split, TARGET, feature, value FROM num_long
   UNION ALL SELECT * FROM freq_long UNION ALL SELECT * FROM oh_long),
 long AS (SELECT SK_ID_CURR, screening_split, TARGET, feature,
-  CASE WHEN isnan(value) OR isinf(value) THEN NULL ELSE {sig_round_sql('value', SC.VALUE_DIGITS)} END AS value FROM long0)"""
+  CASE WHEN isnan(value) OR isinf(value) THEN NULL ELSE {sig_round_sql('value', VALUE_DIGITS)} END AS value FROM long0)"""
 
 
 def freq_oracle() -> str:

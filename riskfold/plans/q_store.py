@@ -63,17 +63,16 @@ def block_frames(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 
 def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The application feature store, materialised once per session (reliable checkpoint).
+    """The application feature store, materialised once per session (Parquet).
 
     Every downstream report (screening, split, scoring, coverage) then starts
     from a short lineage instead of re-planning ~400 columns of joins.
     """
     from riskfold.plans.q_screen import memo
-    from riskfold.session import ensure_checkpoint_dir
+    from riskfold.session import materialise
 
     def build():
-        ensure_checkpoint_dir(spark)
-        return S.build_feature_store(app_base(spark, sf_dir), block_frames(spark, sf_dir)).checkpoint(eager=True)
+        return materialise(S.build_feature_store(app_base(spark, sf_dir), block_frames(spark, sf_dir)), "q_store")
 
     return memo("feature_store", spark, sf_dir, build)
 
@@ -147,7 +146,7 @@ def app_union_sql() -> str:
 def _app_derived_sql() -> tuple[str, list[str]]:
     """App base SQL and its double columns."""
     base = app_union_sql()
-    flags = [f"CAST({c} = {C.SENTINEL} AS INTEGER) AS {c}{C.SENTINEL_SUFFIX}" for c in SENTINEL_COLS]
+    flags = [f"CAST(coalesce({c} = {C.SENTINEL}, FALSE) AS INTEGER) AS {c}{C.SENTINEL_SUFFIX}" for c in SENTINEL_COLS]
     cleaned = [
         (f"CASE WHEN {c} = {C.SENTINEL} THEN NULL ELSE {c} END AS {c}" if c in SENTINEL_COLS else c)
         for c in ["dataset"] + APP_RAW + ["TARGET"]
@@ -424,8 +423,12 @@ def q_raw_file_sizes(spark, sf_dir):
     from riskfold.sources.tables import TABLES, file_sizes, read_table, table_path
 
     tables = {t: read_table(spark, sf_dir, t) for t in TABLES}
-    sizes = file_sizes(spark, [table_path(sf_dir, t) for t in TABLES]).withColumn(
-        "table", F.regexp_extract(F.col("path"), r"([^/]+)\.parquet$", 1)
+    # a table is one file or a folder of part files
+    sizes = (
+        file_sizes(spark, [table_path(sf_dir, t) for t in TABLES])
+        .withColumn("table", F.regexp_extract(F.col("path"), r"([^/]+)\.parquet(?:/|$)", 1))
+        .groupBy("table")
+        .agg(F.sum("file_mb").alias("file_mb"))
     )
     prof = PR.table_profile(tables).drop("file_mb")
     return prof.join(sizes.select("table", "file_mb"), "table", "left")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "riskfold") -> SparkSession:
@@ -49,3 +50,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="riskfold-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet below the checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` (the files are shared and survive a
+    lost executor), but stays columnar: later readers scan the columns they use.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -39,14 +39,17 @@ def read_csv_table(
     dataset: str | None = None,
     add_null_target: bool = False,
     encoding: str = "UTF-8",
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV scan as the reference reads its raw files.
 
     ``schema`` should be given in production (no inference pass over 100 TB);
     ``columns`` is the ``usecols`` projection; ``dataset`` prepends a literal
     tag; ``add_null_target`` adds a NULL ``TARGET`` when the file has none.
+    ``multi_line`` reads quoted line ends as part of a value; files without
+    them can be split between tasks with ``multi_line=False``.
     """
-    reader = spark.read.option("header", "true").option("encoding", encoding).option("multiLine", "false")
+    reader = spark.read.option("header", "true").option("encoding", encoding).option("multiLine", str(multi_line).lower())
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
     df = reader.csv(path)
     if columns:
@@ -71,8 +74,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     w.parquet(path)
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = True) -> None:
-    """Small report sink. ``single_file`` coalesces only because reports are tiny."""
+def write_report(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False) -> None:
+    """Report sink.  ``single_file`` writes through one task: only for reports of bounded size."""
     out = df.coalesce(1) if single_file else df
     w = out.write.mode("overwrite")
     if fmt == "csv":
