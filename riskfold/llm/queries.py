@@ -11,6 +11,7 @@ from riskfold.llm import (
     decontaminate,
     licenses,
     line_dedup,
+    oracles,
     packing,
     quality,
     sharding,
@@ -22,7 +23,7 @@ from riskfold.llm import (
 from riskfold.llm.common import read_table, shared_path, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_threshold_topk": oracles.topk_sql(), "op7_license_sentences": oracles.licenses_sql()}
 
 #: Key of the catalogue's surrogates; a real run passes its own secret.
 SURROGATE_KEY = "catalogue"
