@@ -11,8 +11,10 @@ the capacity open sequences of their own; all others look for gaps.  A round
 3. resolves conflicts by rank (the depth counts ranks, so a gap has one piece),
 4. shrinks the gaps, and repeats with the pieces left over.
 
-A round without a match opens as many empty sequences as the waiting tokens
-fill.  Only class totals (one row for each size and kind, at most twice the
+A gap that would hold several of the largest waiting pieces takes part as that
+many slots, so rounds stay few.  A round that places less than a third of the
+waiting pieces is followed by as many empty sequences as the rest would fill
+beyond the gaps that can take any of them, at least one where none was placed.  Only class totals (one row for each size and kind, at most twice the
 capacity) are broadcast, and a depth holds at most that many rows, since a
 class meets a depth once.  The rows of a round are written to the shared
 folder, so a lost executor costs that round at most.
@@ -33,6 +35,9 @@ from riskfold.llm.common import saved, text_of
 from riskfold.llm.tokens import encoder, slices
 from riskfold.operators.rank import global_rank
 
+#: New sequences are opened after a round that places less than one in so many waiting pieces.
+OPEN_BELOW = 3
+
 PIECES = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -86,10 +91,12 @@ def token_pieces(
     return rows.mapInArrow(cut, PIECES)
 
 
-def _round(waiting: DataFrame, gaps: DataFrame) -> DataFrame:
+def _round(waiting: DataFrame, slots: DataFrame) -> DataFrame:
     """One sweep: every row with its partner (``mate``, ``mate_size``), NULL where it has none."""
-    rows = waiting.select(F.lit(0).alias("kind"), "id", "size").unionByName(gaps.select(F.lit(1).alias("kind"), "id", "size"))
-    ranked = global_rank(rows, [F.col("size"), F.col("kind"), F.col("id")], rank_col="pos")
+    rows = waiting.select(
+        F.lit(0).alias("kind"), "id", F.lit(0).alias("slot"), F.lit(0).cast("long").alias("free"), "size"
+    ).unionByName(slots.withColumn("kind", F.lit(1)))
+    ranked = global_rank(rows, [F.col("size"), F.col("kind"), F.col("id"), F.col("slot")], rank_col="pos")
     before = Window.orderBy("size", "kind").rowsBetween(Window.unboundedPreceding, -1)
     signed = F.when(F.col("kind") == 0, F.col("n")).otherwise(-F.col("n"))
     classes = (
@@ -105,7 +112,7 @@ def _round(waiting: DataFrame, gaps: DataFrame) -> DataFrame:
     rank = F.col("pos") - F.col("first")
     depth = F.when(F.col("kind") == 0, F.col("level") + rank).otherwise(F.col("level") - rank + 1)
     at = Window.partitionBy("depth").orderBy("pos")
-    met = ranked.join(F.broadcast(classes), ["size", "kind"]).select("kind", "id", "size", "pos", depth.alias("depth"))
+    met = ranked.join(F.broadcast(classes), ["size", "kind"]).withColumn("depth", depth)
 
     def neighbour(column: str) -> Column:
         ahead, back = F.lead(column).over(at), F.lag(column).over(at)
@@ -113,7 +120,9 @@ def _round(waiting: DataFrame, gaps: DataFrame) -> DataFrame:
             (F.col("kind") == 1) & (F.lag("kind").over(at) == 0), back
         )
 
-    return saved(met.select("kind", "id", "size", neighbour("id").alias("mate"), neighbour("size").alias("mate_size")), "pack-round")
+    return saved(
+        met.select("kind", "id", "slot", "free", "size", neighbour("id").alias("mate"), neighbour("size").alias("mate_size")), "pack-round"
+    )
 
 
 def pack_best_fit(items: DataFrame, capacity: int) -> DataFrame:
@@ -128,24 +137,32 @@ def pack_best_fit(items: DataFrame, capacity: int) -> DataFrame:
     large = items.filter(F.col("size") * 2 > capacity)
     waiting = items.filter(F.col("size") * 2 <= capacity)
     placed = [large.select("id", F.col("id").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
-    gaps = large.select("id", (capacity - F.col("size")).alias("size")).filter("size > 0")
+    gaps = large.select("id", (capacity - F.col("size")).alias("free")).filter("free > 0")
     opened = 0
-    left = waiting.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), F.min("size").alias("least")).first()
+    facts = [F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), F.min("size").alias("least"), F.max("size").alias("most")]
+    left = waiting.agg(*facts).first()
     while left["n"]:
-        out = _round(waiting, gaps.filter(F.col("size") >= left["least"]))
-        found = F.col("mate").isNotNull()
+        # a gap that would hold several of the largest waiting pieces offers that many equal slots
+        slots = (
+            gaps.filter(F.col("free") >= left["least"])
+            .withColumn("k", F.greatest(F.lit(1), F.floor(F.col("free") / left["most"])).cast("int"))
+            .select("id", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("slot"), "free", F.floor(F.col("free") / F.col("k")).alias("size"))
+        )
+        out = _round(waiting, slots)
+        waiting = out.filter((F.col("kind") == 0) & F.col("mate").isNull()).select("id", "size")
+        filled = out.filter("kind = 1").withColumn("used", F.coalesce("mate_size", F.lit(0)))
+        before = Window.partitionBy("id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+        at = capacity - F.col("free") + F.coalesce(F.sum("used").over(before), F.lit(0))
         placed.append(
-            out.filter((F.col("kind") == 0) & found).select(
-                "id", F.col("mate").alias("sequence_id"), (capacity - F.col("mate_size")).alias("offset")
-            )
+            filled.withColumn("offset", at).filter("mate is not null").select(F.col("mate").alias("id"), F.col("id").alias("sequence_id"), "offset")
         )
-        waiting = out.filter((F.col("kind") == 0) & ~found).select("id", "size")
-        gaps = out.filter(F.col("kind") == 1).select("id", (F.col("size") - F.coalesce("mate_size", F.lit(0))).alias("size"))
+        gaps = filled.groupBy("id").agg((F.min("free") - F.sum("used")).alias("free")).filter("free > 0")
         was = left["n"]
-        left = waiting.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), F.min("size").alias("least")).first()
-        if left["n"] == was:
-            more = max(1, left["total"] // capacity)
-            fresh = spark.range(opened + 1, opened + 1 + more).select((-F.col("id")).alias("id"), F.lit(capacity).cast("long").alias("size"))
+        left = waiting.agg(*facts).first()
+        if left["n"] and (was - left["n"]) * OPEN_BELOW <= was:
+            room = gaps.filter(F.col("free") >= left["most"]).agg(F.sum("free")).first()[0] or 0
+            more = max(int(left["n"] == was), (left["total"] - room) // capacity)
+            fresh = spark.range(opened + 1, opened + 1 + more).select((-F.col("id")).alias("id"), F.lit(capacity).cast("long").alias("free"))
             gaps, opened = gaps.unionByName(fresh), opened + more
     return reduce(DataFrame.unionByName, placed)
 
