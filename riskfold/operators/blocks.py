@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskfold.functions.core import safe_div
+from riskfold.operators.rank import null_safe_join
 
 SENTINEL = 365243
 DAY_WINDOWS = {"6m": 180, "12m": 365, "24m": 730}
@@ -105,8 +106,6 @@ def _agg_expr(fn: str, x: Column) -> Column:
         return F.max(x)
     if fn == "min":
         return F.min(x)
-    if fn == "nunique":
-        return F.count_distinct(x)
     raise ValueError(fn)
 
 
@@ -121,26 +120,55 @@ def prepare_rows(spec: BlockSpec, rows: DataFrame) -> DataFrame:
 
 
 def build_block(spec: BlockSpec, rows: DataFrame) -> DataFrame:
-    """One ``groupBy(key).agg`` producing every feature of the block."""
+    """One ``groupBy(key).agg`` with every feature of the block but its distinct counts.
+
+    Those come from one aggregation to (key, value) per counted column (see
+    :func:`distinct_counts`): a plain ``count(DISTINCT ...)`` beside the other
+    aggregates would copy every input row once per distinct count.
+    """
     df = prepare_rows(spec, rows)
     masks = {s.name: F.expr(s.mask) for s in spec.subsets}
     aggs: list[Column] = []
+    counted: dict[str, dict[str, str]] = {}  # column -> output name -> subset ("" for all rows)
     for a in spec.base:
-        aggs.append(_agg_expr(a.fn, F.col(a.col)).alias(spec.out(a.name)))
+        if a.fn == "nunique":
+            counted.setdefault(a.col, {})[spec.out(a.name)] = ""
+        else:
+            aggs.append(_agg_expr(a.fn, F.col(a.col)).alias(spec.out(a.name)))
     for s in spec.subsets:
         m = masks[s.name]
         present = F.count(F.when(m, F.lit(1))) > 0
+        aggs.append(present.alias(f"_any_{s.name}"))
         for a in s.aggs:
-            inner = _agg_expr(a.fn, F.when(m, F.col(a.col)))
-            aggs.append(F.when(present, inner).alias(spec.out(f"{s.name}_{a.name}")))
+            if a.fn == "nunique":
+                counted.setdefault(a.col, {})[spec.out(f"{s.name}_{a.name}")] = s.name
+            else:
+                aggs.append(F.when(present, _agg_expr(a.fn, F.when(m, F.col(a.col)))).alias(spec.out(f"{s.name}_{a.name}")))
     block = df.groupBy(spec.key).agg(*aggs)
+    for col, names in counted.items():
+        block = null_safe_join(block, distinct_counts(df, spec.key, col, masks, names), [spec.key], "left")
+        zero = {n: F.coalesce(F.col(n), F.lit(0)) for n in names}
+        block = block.withColumns({n: F.when(F.col(f"_any_{s}"), zero[n]) if s else zero[n] for n, s in names.items()})
     ratios: dict[str, Column] = {}
     for r in spec.base_ratios:
         ratios[spec.out(r.name)] = _ratio(spec, r, "")
     for s in spec.subsets:
         for r in s.ratios:
             ratios[spec.out(f"{s.name}_{r.name}")] = _ratio(spec, r, f"{s.name}_")
-    return block.withColumns(ratios) if ratios else block
+    block = block.withColumns(ratios) if ratios else block
+    return block.select(spec.key, *spec.feature_names())
+
+
+def distinct_counts(df: DataFrame, key: str, col: str, masks: dict[str, Column], names: dict[str, str]) -> DataFrame:
+    """(key, counts): distinct values of ``col`` per key, for each output name within its subset.
+
+    Both levels combine before their shuffle, and the second one counts rows,
+    so a key that holds most rows is spread over its values first.
+    """
+    within = [F.max(masks[s].cast("int")).alias(n) for n, s in names.items() if s]
+    per_value = df.filter(F.col(col).isNotNull()).groupBy(key, col).agg(F.max(F.lit(1)).alias("_one"), *within)
+    counts = [F.sum("_one" if not s else F.coalesce(F.col(n), F.lit(0))).cast("bigint").alias(n) for n, s in names.items()]
+    return per_value.groupBy(key).agg(*counts)
 
 
 def _ratio(spec: BlockSpec, r: Ratio, scope: str) -> Column:
@@ -160,15 +188,6 @@ def account_map(spec: BlockSpec, rows: DataFrame) -> DataFrame:
 # Block specifications (fixed feature lists of the reference data model).
 # ---------------------------------------------------------------------------
 
-def _a(spec: str) -> tuple[Agg, ...]:
-    """Parse ``name:fn:col`` lines."""
-    out = []
-    for line in spec.strip().splitlines():
-        name, fn, col = (p.strip() for p in line.split(":"))
-        out.append(Agg(name, fn, col))
-    return tuple(out)
-
-
 def _r(*items: tuple[str, str, tuple[str, ...] | str]) -> tuple[Ratio, ...]:
     return tuple(Ratio(n, num, den if isinstance(den, tuple) else (den,)) for n, num, den in items)
 
@@ -195,35 +214,35 @@ BUREAU = BlockSpec(
         ("bureau_is_consumer_credit", "CAST(coalesce(CREDIT_TYPE = 'Consumer credit', false) AS INT)"),
         ("bureau_is_credit_card", "CAST(coalesce(CREDIT_TYPE = 'Credit card', false) AS INT)"),
     ),
-    base=_a("""
-        loan_count: count: SK_ID_BUREAU
-        active_loan_count: sum: bureau_is_active
-        closed_loan_count: sum: bureau_is_closed
-        overdue_loan_count: sum: bureau_has_overdue
-        max_days_overdue: max: CREDIT_DAY_OVERDUE
-        sum_credit: sum: AMT_CREDIT_SUM
-        mean_credit: mean: AMT_CREDIT_SUM
-        max_credit: max: AMT_CREDIT_SUM
-        sum_debt: sum: AMT_CREDIT_SUM_DEBT
-        mean_debt: mean: AMT_CREDIT_SUM_DEBT
-        sum_overdue_amount: sum: AMT_CREDIT_SUM_OVERDUE
-        max_overdue_amount: max: AMT_CREDIT_SUM_OVERDUE
-        sum_credit_limit: sum: AMT_CREDIT_SUM_LIMIT
-        max_credit_max_overdue: max: AMT_CREDIT_MAX_OVERDUE
-        sum_credit_prolong: sum: CNT_CREDIT_PROLONG
-        days_credit_mean: mean: DAYS_CREDIT
-        days_credit_min: min: DAYS_CREDIT
-        days_credit_max: max: DAYS_CREDIT
-        days_credit_update_max: max: DAYS_CREDIT_UPDATE
-        credit_type_count: nunique: CREDIT_TYPE
-        consumer_credit_count: sum: bureau_is_consumer_credit
-        credit_card_count: sum: bureau_is_credit_card
-        debt_to_credit_mean: mean: bureau_debt_to_credit
-        debt_to_credit_max: max: bureau_debt_to_credit
-        limit_to_credit_mean: mean: bureau_limit_to_credit
-        annuity_sum: sum: AMT_ANNUITY
-        annuity_mean: mean: AMT_ANNUITY
-    """),
+    base=(
+        Agg("loan_count", "count", "SK_ID_BUREAU"),
+        Agg("active_loan_count", "sum", "bureau_is_active"),
+        Agg("closed_loan_count", "sum", "bureau_is_closed"),
+        Agg("overdue_loan_count", "sum", "bureau_has_overdue"),
+        Agg("max_days_overdue", "max", "CREDIT_DAY_OVERDUE"),
+        Agg("sum_credit", "sum", "AMT_CREDIT_SUM"),
+        Agg("mean_credit", "mean", "AMT_CREDIT_SUM"),
+        Agg("max_credit", "max", "AMT_CREDIT_SUM"),
+        Agg("sum_debt", "sum", "AMT_CREDIT_SUM_DEBT"),
+        Agg("mean_debt", "mean", "AMT_CREDIT_SUM_DEBT"),
+        Agg("sum_overdue_amount", "sum", "AMT_CREDIT_SUM_OVERDUE"),
+        Agg("max_overdue_amount", "max", "AMT_CREDIT_SUM_OVERDUE"),
+        Agg("sum_credit_limit", "sum", "AMT_CREDIT_SUM_LIMIT"),
+        Agg("max_credit_max_overdue", "max", "AMT_CREDIT_MAX_OVERDUE"),
+        Agg("sum_credit_prolong", "sum", "CNT_CREDIT_PROLONG"),
+        Agg("days_credit_mean", "mean", "DAYS_CREDIT"),
+        Agg("days_credit_min", "min", "DAYS_CREDIT"),
+        Agg("days_credit_max", "max", "DAYS_CREDIT"),
+        Agg("days_credit_update_max", "max", "DAYS_CREDIT_UPDATE"),
+        Agg("credit_type_count", "nunique", "CREDIT_TYPE"),
+        Agg("consumer_credit_count", "sum", "bureau_is_consumer_credit"),
+        Agg("credit_card_count", "sum", "bureau_is_credit_card"),
+        Agg("debt_to_credit_mean", "mean", "bureau_debt_to_credit"),
+        Agg("debt_to_credit_max", "max", "bureau_debt_to_credit"),
+        Agg("limit_to_credit_mean", "mean", "bureau_limit_to_credit"),
+        Agg("annuity_sum", "sum", "AMT_ANNUITY"),
+        Agg("annuity_mean", "mean", "AMT_ANNUITY"),
+    ),
     base_ratios=_r(
         ("active_loan_ratio", "active_loan_count", "loan_count"),
         ("overdue_loan_ratio", "overdue_loan_count", "loan_count"),
@@ -233,14 +252,14 @@ BUREAU = BlockSpec(
         Subset(
             status,
             f"bureau_is_{status} = 1",
-            _a("""
-                credit_sum: sum: AMT_CREDIT_SUM
-                debt_sum: sum: AMT_CREDIT_SUM_DEBT
-                overdue_amount_sum: sum: AMT_CREDIT_SUM_OVERDUE
-                days_credit_mean: mean: DAYS_CREDIT
-                debt_to_credit_mean: mean: bureau_debt_to_credit
-                debt_to_credit_max: max: bureau_debt_to_credit
-            """),
+            (
+                Agg("credit_sum", "sum", "AMT_CREDIT_SUM"),
+                Agg("debt_sum", "sum", "AMT_CREDIT_SUM_DEBT"),
+                Agg("overdue_amount_sum", "sum", "AMT_CREDIT_SUM_OVERDUE"),
+                Agg("days_credit_mean", "mean", "DAYS_CREDIT"),
+                Agg("debt_to_credit_mean", "mean", "bureau_debt_to_credit"),
+                Agg("debt_to_credit_max", "max", "bureau_debt_to_credit"),
+            ),
             _r(("total_debt_to_credit_ratio", "debt_sum", "credit_sum")),
         )
         for status in ("active", "closed")
@@ -249,13 +268,13 @@ BUREAU = BlockSpec(
         Subset(
             product,
             f"bureau_is_{product} = 1",
-            _a("""
-                credit_sum: sum: AMT_CREDIT_SUM
-                debt_sum: sum: AMT_CREDIT_SUM_DEBT
-                overdue_count: sum: bureau_has_overdue
-                debt_to_credit_mean: mean: bureau_debt_to_credit
-                debt_to_credit_max: max: bureau_debt_to_credit
-            """),
+            (
+                Agg("credit_sum", "sum", "AMT_CREDIT_SUM"),
+                Agg("debt_sum", "sum", "AMT_CREDIT_SUM_DEBT"),
+                Agg("overdue_count", "sum", "bureau_has_overdue"),
+                Agg("debt_to_credit_mean", "mean", "bureau_debt_to_credit"),
+                Agg("debt_to_credit_max", "max", "bureau_debt_to_credit"),
+            ),
             _r(("total_debt_to_credit_ratio", "debt_sum", "credit_sum")),
         )
         for product in ("consumer_credit", "credit_card")
@@ -263,16 +282,16 @@ BUREAU = BlockSpec(
     + window_subsets(
         "DAYS_CREDIT",
         DAY_WINDOWS,
-        _a("""
-            loan_count: count: SK_ID_BUREAU
-            active_loan_count: sum: bureau_is_active
-            overdue_loan_count: sum: bureau_has_overdue
-            credit_sum: sum: AMT_CREDIT_SUM
-            debt_sum: sum: AMT_CREDIT_SUM_DEBT
-            debt_to_credit_mean: mean: bureau_debt_to_credit
-            debt_to_credit_max: max: bureau_debt_to_credit
-            max_days_overdue: max: CREDIT_DAY_OVERDUE
-        """),
+        (
+            Agg("loan_count", "count", "SK_ID_BUREAU"),
+            Agg("active_loan_count", "sum", "bureau_is_active"),
+            Agg("overdue_loan_count", "sum", "bureau_has_overdue"),
+            Agg("credit_sum", "sum", "AMT_CREDIT_SUM"),
+            Agg("debt_sum", "sum", "AMT_CREDIT_SUM_DEBT"),
+            Agg("debt_to_credit_mean", "mean", "bureau_debt_to_credit"),
+            Agg("debt_to_credit_max", "max", "bureau_debt_to_credit"),
+            Agg("max_days_overdue", "max", "CREDIT_DAY_OVERDUE"),
+        ),
         _r(
             ("overdue_loan_ratio", "overdue_loan_count", "loan_count"),
             ("total_debt_to_credit_ratio", "debt_sum", "credit_sum"),
@@ -298,18 +317,18 @@ BUREAU_BALANCE = BlockSpec(
         ("bureau_balance_closed_month", "CAST(coalesce(STATUS = 'C', false) AS INT)"),
         ("bureau_balance_no_info_month", "CAST(coalesce(STATUS = 'X', false) AS INT)"),
     ),
-    base=_a("""
-        month_count: count: MONTHS_BALANCE
-        account_count: nunique: SK_ID_BUREAU
-        bad_month_count: sum: bureau_balance_bad_month
-        severe_bad_month_count: sum: bureau_balance_severe_bad_month
-        closed_month_count: sum: bureau_balance_closed_month
-        no_info_month_count: sum: bureau_balance_no_info_month
-        status_max: max: bureau_balance_status_num
-        status_mean: mean: bureau_balance_status_num
-        months_min: min: MONTHS_BALANCE
-        months_max: max: MONTHS_BALANCE
-    """),
+    base=(
+        Agg("month_count", "count", "MONTHS_BALANCE"),
+        Agg("account_count", "nunique", "SK_ID_BUREAU"),
+        Agg("bad_month_count", "sum", "bureau_balance_bad_month"),
+        Agg("severe_bad_month_count", "sum", "bureau_balance_severe_bad_month"),
+        Agg("closed_month_count", "sum", "bureau_balance_closed_month"),
+        Agg("no_info_month_count", "sum", "bureau_balance_no_info_month"),
+        Agg("status_max", "max", "bureau_balance_status_num"),
+        Agg("status_mean", "mean", "bureau_balance_status_num"),
+        Agg("months_min", "min", "MONTHS_BALANCE"),
+        Agg("months_max", "max", "MONTHS_BALANCE"),
+    ),
     base_ratios=_r(
         ("bad_month_ratio", "bad_month_count", "month_count"),
         ("severe_bad_month_ratio", "severe_bad_month_count", "month_count"),
@@ -317,13 +336,13 @@ BUREAU_BALANCE = BlockSpec(
     subsets=window_subsets(
         "MONTHS_BALANCE",
         MONTH_WINDOWS,
-        _a("""
-            month_count: count: MONTHS_BALANCE
-            bad_month_count: sum: bureau_balance_bad_month
-            severe_bad_month_count: sum: bureau_balance_severe_bad_month
-            status_max: max: bureau_balance_status_num
-            status_mean: mean: bureau_balance_status_num
-        """),
+        (
+            Agg("month_count", "count", "MONTHS_BALANCE"),
+            Agg("bad_month_count", "sum", "bureau_balance_bad_month"),
+            Agg("severe_bad_month_count", "sum", "bureau_balance_severe_bad_month"),
+            Agg("status_max", "max", "bureau_balance_status_num"),
+            Agg("status_mean", "mean", "bureau_balance_status_num"),
+        ),
         _r(
             ("bad_month_ratio", "bad_month_count", "month_count"),
             ("severe_bad_month_ratio", "severe_bad_month_count", "month_count"),
@@ -350,31 +369,31 @@ PREVIOUS = BlockSpec(
         ("prev_credit_to_application", SAFE.format(n="AMT_CREDIT", d="AMT_APPLICATION")),
         ("prev_down_payment_to_credit", SAFE.format(n="AMT_DOWN_PAYMENT", d="AMT_CREDIT")),
     ),
-    base=_a("""
-        application_count: count: SK_ID_PREV
-        approved_count: sum: prev_is_approved
-        refused_count: sum: prev_is_refused
-        canceled_count: sum: prev_is_canceled
-        cash_count: sum: prev_is_cash
-        revolving_count: sum: prev_is_revolving
-        application_amount_sum: sum: AMT_APPLICATION
-        application_amount_mean: mean: AMT_APPLICATION
-        credit_amount_sum: sum: AMT_CREDIT
-        credit_amount_mean: mean: AMT_CREDIT
-        annuity_mean: mean: AMT_ANNUITY
-        down_payment_mean: mean: AMT_DOWN_PAYMENT
-        goods_price_mean: mean: AMT_GOODS_PRICE
-        days_decision_mean: mean: DAYS_DECISION
-        days_decision_max: max: DAYS_DECISION
-        cnt_payment_mean: mean: CNT_PAYMENT
-        credit_to_application_mean: mean: prev_credit_to_application
-        down_payment_to_credit_mean: mean: prev_down_payment_to_credit
-        reject_reason_count: nunique: CODE_REJECT_REASON
-        client_type_count: nunique: NAME_CLIENT_TYPE
-        channel_count: nunique: CHANNEL_TYPE
-        yield_group_count: nunique: NAME_YIELD_GROUP
-        insured_on_approval_rate: mean: NFLAG_INSURED_ON_APPROVAL
-    """),
+    base=(
+        Agg("application_count", "count", "SK_ID_PREV"),
+        Agg("approved_count", "sum", "prev_is_approved"),
+        Agg("refused_count", "sum", "prev_is_refused"),
+        Agg("canceled_count", "sum", "prev_is_canceled"),
+        Agg("cash_count", "sum", "prev_is_cash"),
+        Agg("revolving_count", "sum", "prev_is_revolving"),
+        Agg("application_amount_sum", "sum", "AMT_APPLICATION"),
+        Agg("application_amount_mean", "mean", "AMT_APPLICATION"),
+        Agg("credit_amount_sum", "sum", "AMT_CREDIT"),
+        Agg("credit_amount_mean", "mean", "AMT_CREDIT"),
+        Agg("annuity_mean", "mean", "AMT_ANNUITY"),
+        Agg("down_payment_mean", "mean", "AMT_DOWN_PAYMENT"),
+        Agg("goods_price_mean", "mean", "AMT_GOODS_PRICE"),
+        Agg("days_decision_mean", "mean", "DAYS_DECISION"),
+        Agg("days_decision_max", "max", "DAYS_DECISION"),
+        Agg("cnt_payment_mean", "mean", "CNT_PAYMENT"),
+        Agg("credit_to_application_mean", "mean", "prev_credit_to_application"),
+        Agg("down_payment_to_credit_mean", "mean", "prev_down_payment_to_credit"),
+        Agg("reject_reason_count", "nunique", "CODE_REJECT_REASON"),
+        Agg("client_type_count", "nunique", "NAME_CLIENT_TYPE"),
+        Agg("channel_count", "nunique", "CHANNEL_TYPE"),
+        Agg("yield_group_count", "nunique", "NAME_YIELD_GROUP"),
+        Agg("insured_on_approval_rate", "mean", "NFLAG_INSURED_ON_APPROVAL"),
+    ),
     base_ratios=_r(
         ("approval_rate", "approved_count", "application_count"),
         ("refusal_rate", "refused_count", "application_count"),
@@ -385,15 +404,15 @@ PREVIOUS = BlockSpec(
         Subset(
             status,
             f"prev_is_{status} = 1",
-            _a("""
-                amount_mean: mean: AMT_APPLICATION
-                credit_mean: mean: AMT_CREDIT
-                credit_sum: sum: AMT_CREDIT
-                days_decision_max: max: DAYS_DECISION
-                days_decision_mean: mean: DAYS_DECISION
-                cnt_payment_mean: mean: CNT_PAYMENT
-                credit_to_application_mean: mean: prev_credit_to_application
-            """),
+            (
+                Agg("amount_mean", "mean", "AMT_APPLICATION"),
+                Agg("credit_mean", "mean", "AMT_CREDIT"),
+                Agg("credit_sum", "sum", "AMT_CREDIT"),
+                Agg("days_decision_max", "max", "DAYS_DECISION"),
+                Agg("days_decision_mean", "mean", "DAYS_DECISION"),
+                Agg("cnt_payment_mean", "mean", "CNT_PAYMENT"),
+                Agg("credit_to_application_mean", "mean", "prev_credit_to_application"),
+            ),
         )
         for status in ("approved", "refused", "canceled")
     )
@@ -401,13 +420,13 @@ PREVIOUS = BlockSpec(
         Subset(
             product,
             f"prev_is_{product} = 1",
-            _a("""
-                approved_count: sum: prev_is_approved
-                refused_count: sum: prev_is_refused
-                credit_mean: mean: AMT_CREDIT
-                credit_sum: sum: AMT_CREDIT
-                credit_to_application_mean: mean: prev_credit_to_application
-            """),
+            (
+                Agg("approved_count", "sum", "prev_is_approved"),
+                Agg("refused_count", "sum", "prev_is_refused"),
+                Agg("credit_mean", "mean", "AMT_CREDIT"),
+                Agg("credit_sum", "sum", "AMT_CREDIT"),
+                Agg("credit_to_application_mean", "mean", "prev_credit_to_application"),
+            ),
             _r(("refusal_rate", "refused_count", ("approved_count", "refused_count"))),
         )
         for product in ("cash", "revolving")
@@ -415,15 +434,15 @@ PREVIOUS = BlockSpec(
     + window_subsets(
         "DAYS_DECISION",
         DAY_WINDOWS,
-        _a("""
-            application_count: count: SK_ID_PREV
-            approved_count: sum: prev_is_approved
-            refused_count: sum: prev_is_refused
-            credit_mean: mean: AMT_CREDIT
-            credit_sum: sum: AMT_CREDIT
-            credit_to_application_mean: mean: prev_credit_to_application
-            days_decision_max: max: DAYS_DECISION
-        """),
+        (
+            Agg("application_count", "count", "SK_ID_PREV"),
+            Agg("approved_count", "sum", "prev_is_approved"),
+            Agg("refused_count", "sum", "prev_is_refused"),
+            Agg("credit_mean", "mean", "AMT_CREDIT"),
+            Agg("credit_sum", "sum", "AMT_CREDIT"),
+            Agg("credit_to_application_mean", "mean", "prev_credit_to_application"),
+            Agg("days_decision_max", "max", "DAYS_DECISION"),
+        ),
         _r(("refusal_rate", "refused_count", "application_count")),
     ),
 )
@@ -445,23 +464,23 @@ INSTALLMENTS = BlockSpec(
         ("installment_shortfall_amount", "CASE WHEN AMT_INSTALMENT - AMT_PAYMENT IS NOT NULL THEN greatest(AMT_INSTALMENT - AMT_PAYMENT, CAST(0 AS DOUBLE)) END"),
         ("installment_has_shortfall", "CAST(coalesce(installment_shortfall_amount, 0) > 0 AS INT)"),
     ),
-    base=_a("""
-        record_count: count: SK_ID_PREV
-        contract_count: nunique: SK_ID_PREV
-        late_count: sum: installment_is_late
-        late_days_mean: mean: installment_days_late
-        late_days_max: max: installment_days_late
-        early_days_mean: mean: installment_days_early
-        payment_ratio_mean: mean: installment_payment_ratio
-        payment_ratio_min: min: installment_payment_ratio
-        shortfall_count: sum: installment_has_shortfall
-        shortfall_amount_sum: sum: installment_shortfall_amount
-        shortfall_amount_max: max: installment_shortfall_amount
-        amount_sum: sum: AMT_INSTALMENT
-        payment_sum: sum: AMT_PAYMENT
-        last_due_day: max: DAYS_INSTALMENT
-        first_due_day: min: DAYS_INSTALMENT
-    """),
+    base=(
+        Agg("record_count", "count", "SK_ID_PREV"),
+        Agg("contract_count", "nunique", "SK_ID_PREV"),
+        Agg("late_count", "sum", "installment_is_late"),
+        Agg("late_days_mean", "mean", "installment_days_late"),
+        Agg("late_days_max", "max", "installment_days_late"),
+        Agg("early_days_mean", "mean", "installment_days_early"),
+        Agg("payment_ratio_mean", "mean", "installment_payment_ratio"),
+        Agg("payment_ratio_min", "min", "installment_payment_ratio"),
+        Agg("shortfall_count", "sum", "installment_has_shortfall"),
+        Agg("shortfall_amount_sum", "sum", "installment_shortfall_amount"),
+        Agg("shortfall_amount_max", "max", "installment_shortfall_amount"),
+        Agg("amount_sum", "sum", "AMT_INSTALMENT"),
+        Agg("payment_sum", "sum", "AMT_PAYMENT"),
+        Agg("last_due_day", "max", "DAYS_INSTALMENT"),
+        Agg("first_due_day", "min", "DAYS_INSTALMENT"),
+    ),
     base_ratios=_r(
         ("late_ratio", "late_count", "record_count"),
         ("shortfall_ratio", "shortfall_count", "record_count"),
@@ -470,19 +489,19 @@ INSTALLMENTS = BlockSpec(
     subsets=window_subsets(
         "DAYS_INSTALMENT",
         DAY_WINDOWS,
-        _a("""
-            record_count: count: SK_ID_PREV
-            contract_count: nunique: SK_ID_PREV
-            late_count: sum: installment_is_late
-            late_days_mean: mean: installment_days_late
-            late_days_max: max: installment_days_late
-            payment_ratio_mean: mean: installment_payment_ratio
-            payment_ratio_min: min: installment_payment_ratio
-            shortfall_count: sum: installment_has_shortfall
-            shortfall_amount_sum: sum: installment_shortfall_amount
-            amount_sum: sum: AMT_INSTALMENT
-            payment_sum: sum: AMT_PAYMENT
-        """),
+        (
+            Agg("record_count", "count", "SK_ID_PREV"),
+            Agg("contract_count", "nunique", "SK_ID_PREV"),
+            Agg("late_count", "sum", "installment_is_late"),
+            Agg("late_days_mean", "mean", "installment_days_late"),
+            Agg("late_days_max", "max", "installment_days_late"),
+            Agg("payment_ratio_mean", "mean", "installment_payment_ratio"),
+            Agg("payment_ratio_min", "min", "installment_payment_ratio"),
+            Agg("shortfall_count", "sum", "installment_has_shortfall"),
+            Agg("shortfall_amount_sum", "sum", "installment_shortfall_amount"),
+            Agg("amount_sum", "sum", "AMT_INSTALMENT"),
+            Agg("payment_sum", "sum", "AMT_PAYMENT"),
+        ),
         _r(
             ("late_ratio", "late_count", "record_count"),
             ("shortfall_ratio", "shortfall_count", "record_count"),
@@ -509,27 +528,27 @@ CREDIT_CARD = BlockSpec(
         ("credit_card_def_dpd_month", "CAST(coalesce(SK_DPD_DEF, 0) > 0 AS INT)"),
         ("credit_card_active_month", "CAST(coalesce(NAME_CONTRACT_STATUS = 'Active', false) AS INT)"),
     ),
-    base=_a("""
-        month_count: count: MONTHS_BALANCE
-        contract_count: nunique: SK_ID_PREV
-        active_month_count: sum: credit_card_active_month
-        balance_mean: mean: AMT_BALANCE
-        balance_max: max: AMT_BALANCE
-        credit_limit_mean: mean: AMT_CREDIT_LIMIT_ACTUAL
-        credit_limit_max: max: AMT_CREDIT_LIMIT_ACTUAL
-        utilization_mean: mean: credit_card_utilization
-        utilization_max: max: credit_card_utilization
-        drawings_sum: sum: AMT_DRAWINGS_CURRENT
-        drawings_mean: mean: AMT_DRAWINGS_CURRENT
-        drawing_count_sum: sum: CNT_DRAWINGS_CURRENT
-        payment_to_min_due_mean: mean: credit_card_payment_to_min_due
-        dpd_month_count: sum: credit_card_dpd_month
-        def_dpd_month_count: sum: credit_card_def_dpd_month
-        dpd_max: max: SK_DPD
-        def_dpd_max: max: SK_DPD_DEF
-        months_min: min: MONTHS_BALANCE
-        months_max: max: MONTHS_BALANCE
-    """),
+    base=(
+        Agg("month_count", "count", "MONTHS_BALANCE"),
+        Agg("contract_count", "nunique", "SK_ID_PREV"),
+        Agg("active_month_count", "sum", "credit_card_active_month"),
+        Agg("balance_mean", "mean", "AMT_BALANCE"),
+        Agg("balance_max", "max", "AMT_BALANCE"),
+        Agg("credit_limit_mean", "mean", "AMT_CREDIT_LIMIT_ACTUAL"),
+        Agg("credit_limit_max", "max", "AMT_CREDIT_LIMIT_ACTUAL"),
+        Agg("utilization_mean", "mean", "credit_card_utilization"),
+        Agg("utilization_max", "max", "credit_card_utilization"),
+        Agg("drawings_sum", "sum", "AMT_DRAWINGS_CURRENT"),
+        Agg("drawings_mean", "mean", "AMT_DRAWINGS_CURRENT"),
+        Agg("drawing_count_sum", "sum", "CNT_DRAWINGS_CURRENT"),
+        Agg("payment_to_min_due_mean", "mean", "credit_card_payment_to_min_due"),
+        Agg("dpd_month_count", "sum", "credit_card_dpd_month"),
+        Agg("def_dpd_month_count", "sum", "credit_card_def_dpd_month"),
+        Agg("dpd_max", "max", "SK_DPD"),
+        Agg("def_dpd_max", "max", "SK_DPD_DEF"),
+        Agg("months_min", "min", "MONTHS_BALANCE"),
+        Agg("months_max", "max", "MONTHS_BALANCE"),
+    ),
     base_ratios=_r(
         ("dpd_month_ratio", "dpd_month_count", "month_count"),
         ("def_dpd_month_ratio", "def_dpd_month_count", "month_count"),
@@ -538,22 +557,22 @@ CREDIT_CARD = BlockSpec(
     subsets=window_subsets(
         "MONTHS_BALANCE",
         MONTH_WINDOWS,
-        _a("""
-            month_count: count: MONTHS_BALANCE
-            contract_count: nunique: SK_ID_PREV
-            active_month_count: sum: credit_card_active_month
-            balance_mean: mean: AMT_BALANCE
-            balance_max: max: AMT_BALANCE
-            credit_limit_mean: mean: AMT_CREDIT_LIMIT_ACTUAL
-            utilization_mean: mean: credit_card_utilization
-            utilization_max: max: credit_card_utilization
-            drawings_sum: sum: AMT_DRAWINGS_CURRENT
-            payment_to_min_due_mean: mean: credit_card_payment_to_min_due
-            dpd_month_count: sum: credit_card_dpd_month
-            def_dpd_month_count: sum: credit_card_def_dpd_month
-            dpd_max: max: SK_DPD
-            def_dpd_max: max: SK_DPD_DEF
-        """),
+        (
+            Agg("month_count", "count", "MONTHS_BALANCE"),
+            Agg("contract_count", "nunique", "SK_ID_PREV"),
+            Agg("active_month_count", "sum", "credit_card_active_month"),
+            Agg("balance_mean", "mean", "AMT_BALANCE"),
+            Agg("balance_max", "max", "AMT_BALANCE"),
+            Agg("credit_limit_mean", "mean", "AMT_CREDIT_LIMIT_ACTUAL"),
+            Agg("utilization_mean", "mean", "credit_card_utilization"),
+            Agg("utilization_max", "max", "credit_card_utilization"),
+            Agg("drawings_sum", "sum", "AMT_DRAWINGS_CURRENT"),
+            Agg("payment_to_min_due_mean", "mean", "credit_card_payment_to_min_due"),
+            Agg("dpd_month_count", "sum", "credit_card_dpd_month"),
+            Agg("def_dpd_month_count", "sum", "credit_card_def_dpd_month"),
+            Agg("dpd_max", "max", "SK_DPD"),
+            Agg("def_dpd_max", "max", "SK_DPD_DEF"),
+        ),
         _r(
             ("dpd_month_ratio", "dpd_month_count", "month_count"),
             ("def_dpd_month_ratio", "def_dpd_month_count", "month_count"),
@@ -578,21 +597,21 @@ POS_CASH = BlockSpec(
         ("pos_active_month", "CAST(coalesce(NAME_CONTRACT_STATUS = 'Active', false) AS INT)"),
         ("pos_completed_month", "CAST(coalesce(NAME_CONTRACT_STATUS = 'Completed', false) AS INT)"),
     ),
-    base=_a("""
-        month_count: count: MONTHS_BALANCE
-        contract_count: nunique: SK_ID_PREV
-        active_month_count: sum: pos_active_month
-        completed_month_count: sum: pos_completed_month
-        dpd_month_count: sum: pos_dpd_month
-        def_dpd_month_count: sum: pos_def_dpd_month
-        dpd_max: max: SK_DPD
-        def_dpd_max: max: SK_DPD_DEF
-        instalment_mean: mean: CNT_INSTALMENT
-        instalment_future_mean: mean: CNT_INSTALMENT_FUTURE
-        instalment_future_max: max: CNT_INSTALMENT_FUTURE
-        months_min: min: MONTHS_BALANCE
-        months_max: max: MONTHS_BALANCE
-    """),
+    base=(
+        Agg("month_count", "count", "MONTHS_BALANCE"),
+        Agg("contract_count", "nunique", "SK_ID_PREV"),
+        Agg("active_month_count", "sum", "pos_active_month"),
+        Agg("completed_month_count", "sum", "pos_completed_month"),
+        Agg("dpd_month_count", "sum", "pos_dpd_month"),
+        Agg("def_dpd_month_count", "sum", "pos_def_dpd_month"),
+        Agg("dpd_max", "max", "SK_DPD"),
+        Agg("def_dpd_max", "max", "SK_DPD_DEF"),
+        Agg("instalment_mean", "mean", "CNT_INSTALMENT"),
+        Agg("instalment_future_mean", "mean", "CNT_INSTALMENT_FUTURE"),
+        Agg("instalment_future_max", "max", "CNT_INSTALMENT_FUTURE"),
+        Agg("months_min", "min", "MONTHS_BALANCE"),
+        Agg("months_max", "max", "MONTHS_BALANCE"),
+    ),
     base_ratios=_r(
         ("dpd_month_ratio", "dpd_month_count", "month_count"),
         ("def_dpd_month_ratio", "def_dpd_month_count", "month_count"),
@@ -601,18 +620,18 @@ POS_CASH = BlockSpec(
     subsets=window_subsets(
         "MONTHS_BALANCE",
         MONTH_WINDOWS,
-        _a("""
-            month_count: count: MONTHS_BALANCE
-            contract_count: nunique: SK_ID_PREV
-            active_month_count: sum: pos_active_month
-            completed_month_count: sum: pos_completed_month
-            dpd_month_count: sum: pos_dpd_month
-            def_dpd_month_count: sum: pos_def_dpd_month
-            dpd_max: max: SK_DPD
-            def_dpd_max: max: SK_DPD_DEF
-            instalment_future_mean: mean: CNT_INSTALMENT_FUTURE
-            instalment_future_max: max: CNT_INSTALMENT_FUTURE
-        """),
+        (
+            Agg("month_count", "count", "MONTHS_BALANCE"),
+            Agg("contract_count", "nunique", "SK_ID_PREV"),
+            Agg("active_month_count", "sum", "pos_active_month"),
+            Agg("completed_month_count", "sum", "pos_completed_month"),
+            Agg("dpd_month_count", "sum", "pos_dpd_month"),
+            Agg("def_dpd_month_count", "sum", "pos_def_dpd_month"),
+            Agg("dpd_max", "max", "SK_DPD"),
+            Agg("def_dpd_max", "max", "SK_DPD_DEF"),
+            Agg("instalment_future_mean", "mean", "CNT_INSTALMENT_FUTURE"),
+            Agg("instalment_future_max", "max", "CNT_INSTALMENT_FUTURE"),
+        ),
         _r(
             ("dpd_month_ratio", "dpd_month_count", "month_count"),
             ("def_dpd_month_ratio", "def_dpd_month_count", "month_count"),

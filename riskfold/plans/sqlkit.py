@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskfold.functions.core import SNAP_DIGITS
+from riskfold.functions.core import SNAP_DIGITS, round_significant_once
 
 SIG = 10  # significant digits kept in final reports
+JVM_COLUMNS = 90  # double columns rounded by projections
 
 
 def round_sig_np(x: np.ndarray, digits: int) -> np.ndarray:
@@ -37,14 +38,17 @@ def round_doubles(df: DataFrame, digits: int = SIG) -> DataFrame:
 
     Only the *final* report is rounded so that engines summing in different
     orders hash equal; intermediates are never rounded.  The two stages
-    (snap to 14 digits, then round) run as one Arrow-batched pass over the
-    report rows: a projection of hundreds of such expressions would exceed
-    the JVM's generated-method limit and fall back to slow interpretation.
+    (snap to 14 digits, then round) are two projections; for reports of over
+    ``JVM_COLUMNS`` doubles they run as one Arrow-batched pass instead, since
+    hundreds of such expressions exceed the JVM's generated-method limit.
     """
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     if not cols:
         return df
     df = df.withColumns({c: F.col(f"`{c}`").cast("double") for c in cols})
+    if len(cols) <= JVM_COLUMNS:
+        df = df.withColumns({c: round_significant_once(F.col(f"`{c}`"), SNAP_DIGITS) for c in cols})
+        return df.withColumns({c: round_significant_once(F.col(f"`{c}`"), digits) for c in cols})
     schema = df.schema
     snap = SNAP_DIGITS
     # The batch function carries its own copy of the rounding rule, so the
