@@ -56,7 +56,7 @@ def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     keys = ["_keep_id", "_keep_key"]
     rows = docs.withColumns({"_keep_id": _named("doc_id"), "_keep_key": text_key("text")})
     # rows that repeat both id and text are one document; the join has them together already
-    return rows.join(keep, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
+    return rows.join(keep.hint("merge"), keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
