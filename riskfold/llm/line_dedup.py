@@ -90,10 +90,10 @@ def repeated_windows(docs: DataFrame, min_words: int, id_col: str = "doc_id", te
     found = saved(_window_rows(docs, min_words, id_col, text_col), "line-windows")
     spot = F.struct("doc_id", "text_key", "place")
     shared = found.groupBy("fingerprint").agg(F.min(spot).alias("a"), F.max(spot).alias("b")).filter("a < b").select("fingerprint")
-    candidates = found.join(shared, "fingerprint", "left_semi")
+    candidates = found.join(shared.hint("merge"), "fingerprint", "left_semi")
     start = F.struct("doc_id", "text_key", "first")
     origin = candidates.groupBy("content").agg(F.min(start).alias("a"), F.max(start).alias("b")).filter("a < b").select("content", "a")
-    later = candidates.join(origin, "content").filter(start > F.col("a"))
+    later = candidates.join(origin.hint("merge"), "content").filter(start > F.col("a"))
     return later.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
 
 
@@ -109,7 +109,8 @@ def dedup_lines(
     lines = F.split(F.col(text_col), "\n", -1)
     rest = F.filter(lines, lambda _, i: ~F.exists("_runs", lambda r: i.between(r["first"], r["last"])))
     hit = F.col("_runs").isNotNull()
-    cut = kept.join(runs, same, "left").withColumn("_rest", F.when(hit, rest))
+    # the table of runs grows with the corpus: it is never broadcast, at any size
+    cut = kept.join(runs.hint("merge"), same, "left").withColumn("_rest", F.when(hit, rest))
     return cut.withColumn(removed_col, F.when(hit, F.size(lines) - F.size("_rest")).otherwise(0)).select(
         *[
             F.when(hit, F.array_join("_rest", "\n")).otherwise(F.col(text_col)).alias(c) if c == text_col else F.col(f"`{c}`")
