@@ -8,7 +8,9 @@
    keeps four words in five has three neighbouring words intact, so the default
    length is three.
 3. Join.  Seeds found in a text put its passage against the item, along the
-   diagonal where they meet.
+   diagonal where they meet.  An alignment that passes has at most
+   2 * words * (1 - threshold) gaps, so the passage reaches that far on both
+   sides, and seeds whose diagonals are no further apart share one passage.
 4. Score.  Smith-Waterman over words (match 2, mismatch and gap -1); the score
    over its greatest value is the similarity, and ``threshold`` 0.7 is about
    one word in five replaced, dropped or added.
@@ -37,7 +39,6 @@ from riskfold.llm.common import saved, text_key, text_of
 
 WORD = re.compile(r"\w+")
 RARE = 4
-PAD = 12
 
 MATCHES = T.StructType(
     [
@@ -60,6 +61,7 @@ class Items:
         words = [WORD.findall((t or "").lower()) for _, t in rows]
         self.number = {w: k for k, w in enumerate(sorted({w for ws in words for w in ws}), 1)}
         self.words = [np.array([self.number[w] for w in ws], np.int64) for ws in words]
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
         self.base = len(self.number) + 1
         if self.base**n >= 2**63:
             raise ValueError("too many distinct words for one pass: lower items_per_pass")
@@ -148,14 +150,16 @@ def matches_in(words: np.ndarray, items: Items, order: np.ndarray, threshold: fl
     met = order[np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
     # one passage for each item and stretch of neighbouring diagonals
     spots = np.unique(np.stack([items.item[met], at - items.place[met]], axis=1), axis=0)
-    new = np.concatenate([[True], (np.diff(spots[:, 0]) != 0) | (np.diff(spots[:, 1]) > PAD)])
+    # each gap costs one of the greatest score, so many can still pass (a rounding error must not take one off)
+    reach = np.floor(2 * items.sizes[spots[:, 0]] * (1 - threshold) + 1e-6).astype(np.int64)
+    new = np.concatenate([[True], (np.diff(spots[:, 0]) != 0) | (np.diff(spots[:, 1]) > reach[1:])])
     first = np.flatnonzero(new)
     best: dict[int, tuple[int, float, int, int]] = {}
     for a, b in zip(first, np.append(first[1:], len(spots)), strict=True):
         i = int(spots[a, 0])
         item = items.words[i]
-        begin = max(0, int(spots[a, 1]) - PAD)
-        passage = words[begin : int(spots[b - 1, 1]) + len(item) + PAD]
+        begin = max(0, int(spots[a, 1]) - int(reach[a]))
+        passage = words[begin : int(spots[b - 1, 1]) + len(item) + int(reach[a])]
         similarity, end = smith_waterman(item, passage)
         if similarity >= threshold and (i not in best or similarity > best[i][1]):
             last = begin + end

@@ -93,3 +93,20 @@ def test_passes_give_the_same(spark):
     docs = [(d, items[d % 7][1] + " tail", None) for d in range(20)]
     rows = [sorted((r.doc_id, r.item_id) for r in D.find_matches(*_tables(spark, docs, items), items_per_pass=k).collect()) for k in (2, 100)]
     assert rows[0] == rows[1] == [(d, d % 7) for d in range(20)]
+
+
+@pytest.mark.parametrize("size,inserted", [(38, 16), (50, 20), (59, 20), (59, 30), (200, 100), (30, 18)])
+def test_long_insertions_against_brute_force(spark, size, inserted):
+    """An insertion of up to 2 * size * (1 - threshold) words still passes, in one piece, in two, or between other edits."""
+    rng = random.Random(size + inserted)
+    item, other = _words(rng, size), _words(rng, 20)
+    copies = []
+    for at in (size // 2, size // 3, size - 5):
+        copies.append(item[:at] + _words(rng, inserted) + item[at:])
+        more = item[:5] + _words(rng, inserted // 2) + item[5:at] + _words(rng, inserted - inserted // 2) + item[at:]
+        copies += [more, [w for k, w in enumerate(copies[-1]) if k not in (2, size)]]
+    docs = [(d, " ".join(_words(rng, 30) + c + _words(rng, 30)), None) for d, c in enumerate(copies)]
+    rows = D.find_matches(*_tables(spark, docs, [(1, " ".join(item), None), (2, " ".join(other), None)])).collect()
+    scores = {d: plain_score(item, t.split()) for d, t, _ in docs}
+    assert {r.doc_id: round(r.similarity, 6) for r in rows} == {d: round(s, 6) for d, s in scores.items() if s >= 0.7}
+    assert any(s >= 0.7 for s in scores.values())
