@@ -50,8 +50,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each SimHash component: its least id, then the least text hash."""
-    found = simhash.near_duplicates(docs, words=4, max_bits=4)
-    least = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("k"))
+    found = simhash.near_duplicates(docs, words=4, max_bits=4, with_root=True)
+    # by root: components without ids, or with equal ones, share a component_id
+    least = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("k"))
     keep = saved(least.select(_named("k.doc_id").alias("_keep_id"), F.col("k.text_key").alias("_keep_key")), "simhash-keep")
     keys = ["_keep_id", "_keep_key"]
     rows = docs.withColumns({"_keep_id": _named("doc_id"), "_keep_key": text_key("text")})

@@ -187,11 +187,15 @@ def links(nodes: DataFrame, max_bits: int = 4, max_bucket: int = MAX_BUCKET) ->
     return rows.mapInArrow(sweep, out)
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, words: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text", with_root: bool = False
+) -> DataFrame:
     """(doc_id, text_key, fingerprint, component_id) for every row of ``docs``.
 
     ``fingerprint``: 16 hex digits.  ``component_id``: the least doc_id among
-    all rows reachable over links (NULL ids give way to others).  NULL and
+    all rows reachable over links (NULL ids give way to others); where ids are NULL
+    or repeat, components can share it.  ``with_root`` adds ``root``, a fingerprint
+    (long) that belongs to one component alone.  NULL and
     empty texts have fingerprint zero and are linked like any other; rows that
     repeat an id or a text all stay; other columns are not carried; an empty
     table gives no rows.
@@ -201,7 +205,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, max_bits: int = 4, id_col:
     roots = star_components(saved(links(nodes, max_bits), "simhash-links"))
     member = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = member.select("fp", "root").join(least, "root").select("fp", "component_id")
+    classes = member.select("fp", "root").join(least, "root").select("fp", "component_id", "root")
     return prints.join(classes, "fp").select(
-        "doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *(["root"] if with_root else [])
     )

@@ -64,3 +64,13 @@ def test_empty_tables(spark, tmp_path):
     for name, schema in (("documents", SCHEMA), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert C.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_dedup_keeps_distinct_texts_with_null_or_equal_ids(spark):
+    rng = random.Random(31)
+    texts = [_words(rng, 40) for _ in range(8)]
+    ids = [None, None, None, None, 7, 7, 8, 9]
+    rows = [(i, t, "en", "s", len(t), "x", "y", None) for i, t in zip(ids, texts, strict=True)]
+    rows += [(None, texts[0].title(), "en", "s", 5, "x", "y", None), rows[4], (10, texts[6].upper(), "en", "s", 5, "x", "y", None)]
+    got = C.dedup_near_copies(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert sorted((str(r.doc_id), r.text.lower()) for r in got) == sorted((str(i), t) for i, t in zip(ids, texts, strict=True))
