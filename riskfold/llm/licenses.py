@@ -8,7 +8,8 @@ identifiers follow each other somewhere claims them, and the next rules see the
 rest.  Identifiers that no rule claims are reported as loose.
 
 One projection over the text, all SQL functions, no shuffle.  A text without
-any of the ``MARKS`` holds no known sentence (each has one) and is passed over.
+any of the ``MARKS`` holds no known sentence (each has one) and is passed over;
+marks lie inside one word, so how a notice is wrapped does not hide them.
 
 Rules: NULL and empty texts give empty results; repeated rows each give their
 own row; a licence found in both cuttings or several times is listed once, in
@@ -103,8 +104,8 @@ RULES: list[tuple[str, list[str]]] = [
     ("CC0-1.0", ["CC0Ref"]),
 ]
 
-#: In lower case, every known sentence holds one of these.
-MARKS = ("licens", "licenc", "warrant", "redistribut", "permission", "copyright", "liable", "public domain", "rights reserved", "mpl")
+#: In lower case, every known sentence holds one of these. The text is not normalised yet: none may hold a space.
+MARKS = ("licens", "licenc", "warrant", "redistribut", "permission", "copyright", "liable", "unencumbered", "reserved", "mpl")
 
 #: Sentence ends: a full stop, question or exclamation mark before white space or the end; a semicolon or colon likewise.
 END = r"[.!?;:]+(?:\s+|$)"

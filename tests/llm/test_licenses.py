@@ -74,3 +74,17 @@ def test_each_licence_can_be_found(name):
     ids = next(i for n, i in L.RULES if n == name)
     back = {i: s for s, i in L.SENTENCES.items()}
     assert plain_scan(". ".join(back[i] for i in ids) + ".")[1] == [name]
+
+
+WRAPPED = [
+    "All rights\nreserved.", "x.\nAll  rights\r\n\treserved.\ny", "All rights - reserved", "All rights\u00a0reserved.",
+    "This is free and unencumbered software released into the public\ndomain.", "This is free and unencumbered software released into the public-domain!",
+]
+
+
+def test_wrapped_notices_without_another_mark(spark):
+    got = L.scan_licenses(spark.createDataFrame(list(enumerate(WRAPPED)), "doc_id int, text string")).collect()
+    assert len(got) == len(WRAPPED)
+    for r in got:
+        assert (r.sentence_ids, r.licenses, r.loose_ids) == plain_scan(r.text) and len(r.sentence_ids) == 1, r.text
+    assert all(" " not in m for m in L.MARKS)
