@@ -4,7 +4,9 @@ Detection finds e-mail and IP addresses, phone, card, bank and identity
 numbers, secrets (long hexadecimal strings), and personal names (behind a title
 or starting with a listed given name).  An entity is a type and a canonical
 form: how a mention is written (case, separators, title) does not matter, so
-all its mentions in the corpus get one surrogate (coreference).
+all its mentions in the corpus get one surrogate (coreference).  What else a
+draw depends on is settled for each entity, not for each mention: a name's
+gender is the one that its mentions show, and unknown where they show both.
 
 A surrogate is drawn from SHA-512 of key, type, canonical form and attempt.
 Digits become digits and letters letters of the same script and case, in the
@@ -14,8 +16,9 @@ stay valid; names keep their gender, script and number of words.
 Collision check: over all entities of the corpus, two must not share a
 surrogate, and none may get another entity's own form.  The losers draw again
 until none is left.  First draws are computed in place; only losers (few: the
-spaces are large) are joined, so a common entity is no hot join key and texts
-without a loser are not shuffled.
+spaces are large) and names of two words whose mentions differ in gender are
+joined, so other common entities are no hot join key and texts without any of
+these are not shuffled.
 
 Everything is DataFrame and SQL functions.  Rules: NULL and empty texts pass
 unchanged; mentions are found from the left and do not overlap; repeated rows
@@ -99,9 +102,10 @@ def _gender(m: Column) -> Column:
 
 
 def _detail(kind: Column, m: Column, canonical: Column) -> Column:
-    """What else a draw depends on: a name's gender, whether a card number passes the Luhn check."""
+    """What else a draw depends on: the gender of a name with a given name, whether a card number passes the Luhn check."""
     card = F.when(_luhn(canonical) == 0, F.lit("luhn")).otherwise(F.lit(""))
-    return F.when(kind == "name", _gender(m)).when(kind == "card", card).otherwise(F.lit(""))
+    gender = F.when(F.contains(canonical, F.lit(" ")), _gender(m)).otherwise(F.lit("n"))  # a lone name is invented in any case
+    return F.when(kind == "name", gender).when(kind == "card", card).otherwise(F.lit(""))
 
 
 def _letters(c: Column, hexdigit: Column, vowel: Column) -> Column:
@@ -207,6 +211,18 @@ def _mentions(text: Column) -> Column:
     )
 
 
+def _settled(mentions: DataFrame) -> DataFrame:
+    """(kind, canonical, detail, mixed): each entity with the one detail of all its draws, and whether its mentions differ in it."""
+    seen = mentions.groupBy("kind", "canonical").agg(
+        F.min("detail").alias("a"), F.max("detail").alias("z"), F.min(F.when(F.col("detail") != "n", F.col("detail"))).alias("f"),
+        F.max(F.when(F.col("detail") != "n", F.col("detail"))).alias("m"),
+    )
+    mixed = F.col("a") != F.col("z")
+    # one gender beside unknown is known; two genders are unknown
+    detail = F.when(~mixed, F.col("a")).when(F.col("f") == F.col("m"), F.col("f")).otherwise(F.lit("n"))
+    return seen.select("kind", "canonical", detail.alias("detail"), mixed.alias("mixed"))
+
+
 def _losers(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canonical, attempt) of the entities whose first draw collides, with an attempt that does not."""
     state = saved(
@@ -238,26 +254,33 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     """``docs`` with surrogates in the text, and ``entities`` (long): the number of mentions replaced."""
     kept = without(docs, ["entities"])
     found = kept.withColumn("_m", _mentions(F.col(text_col)))
-    entities = found.select(F.explode("_m").alias("m")).groupBy("m.kind", "m.canonical").agg(F.min("m.detail").alias("detail"))
-    entities = saved(entities, "entities")
-    losers = _losers(entities, key)
+    entities = saved(_settled(found.select(F.explode("_m").alias("m")).select("m.kind", "m.canonical", "m.detail")), "entities")
     own = ["kind", "canonical"]
+    losers = (
+        entities.join(_losers(entities, key), own, "left")
+        .filter("mixed OR attempt IS NOT NULL")
+        .select(*own, "detail", F.coalesce("attempt", F.lit(0)).alias("attempt"))
+    )
     redrawn = (
         found.select(F.col(id_col).cast("string").alias("_id"), text_key(text_col).alias("_key"), F.explode("_m").alias("m"))
         .select("_id", "_key", "m.kind", "m.canonical")
         .join(losers, own)
         .groupBy("_id", "_key")
-        .agg(F.collect_set(F.struct(*own, "attempt")).alias("_redrawn"))
+        .agg(F.collect_set(F.struct(*own, "detail", "attempt")).alias("_redrawn"))
     )
     same = F.col(id_col).cast("string").eqNullSafe(F.col("_id")) & (text_key(text_col) == F.col("_key"))
     joined = kept.join(saved(redrawn, "redrawn"), same, "left").drop("_id", "_key")
-    again = lambda m: F.filter("_redrawn", lambda r: (r["kind"] == m["kind"]) & (r["canonical"] == m["canonical"]))
-    tries = lambda m: F.coalesce(F.get(again(m), F.lit(0))["attempt"], F.lit(0))
-    # NULL where nothing was redrawn: the filter of a NULL array is NULL, so the first draw stands
-    swapped = F.transform(
-        _mentions(F.col(text_col)),
-        lambda m: _written(m["kind"], m["mention"], _drawn(m["kind"], m["canonical"], m["detail"], tries(m), key)),
-    )
+    again = lambda m: F.get(F.filter("_redrawn", lambda r: (r["kind"] == m["kind"]) & (r["canonical"] == m["canonical"])), F.lit(0))
+    # NULL where nothing is carried: the filter of a NULL array is NULL, so the first draw and the mention's detail stand
+    looked_up = F.transform(_mentions(F.col(text_col)), lambda m: F.struct(m.alias("m"), again(m).alias("r")))
+    settled = F.transform(
+        looked_up,
+        lambda x: F.struct(
+            x["m"]["mention"].alias("mention"), x["m"]["kind"].alias("kind"), x["m"]["canonical"].alias("canonical"),
+            F.coalesce(x["r"]["detail"], x["m"]["detail"]).alias("detail"), F.coalesce(x["r"]["attempt"], F.lit(0)).alias("attempt"),
+        ),
+    )
+    swapped = F.transform(settled, lambda m: _written(m["kind"], m["mention"], _drawn(m["kind"], m["canonical"], m["detail"], m["attempt"], key)))
     gaps = F.split(F.col(text_col), ANY, -1)
     whole = F.array_join(F.flatten(F.zip_with(gaps, F.col("_swapped"), lambda g, s: F.array(g, F.coalesce(s, F.lit(""))))), "")
     done = joined.withColumn("_swapped", swapped).withColumn(

@@ -98,3 +98,15 @@ def test_odd_rows(spark):
 def test_no_python_on_the_main_path(spark, kind):
     plan = _run(spark, [(1, "a@b.example.org", None)])._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_mixed_titles_are_one_entity(spark):
+    given = {g: set(names.split()) for g, names in S.GIVEN.items()}
+    texts = ["Mrs Alex Stone", "Dr Alex Stone", "Prof. Alex Stone", "Mr Kim Berg", "Mrs Kim Berg", "Dr Kim Berg", "Mr Stone", "Dr Stone", "Dr Mary Hill", "Mary Hill"]
+    bare = [re.sub(r"^(Mrs|Mr|Dr|Prof\.) ", "", t) for t in texts]
+    after = [re.sub(r"^(Mrs|Mr|Dr|Prof\.) ", "", t) for t in _texts(spark, *texts)]
+    of = {}
+    for b, a in zip(bare, after, strict=True):
+        assert of.setdefault(b, a) == a, (b, a)
+    assert len(set(of.values())) == 4 and not set(of.values()) & set(bare)
+    assert of["Alex Stone"].split()[0] in given["f"] and of["Kim Berg"].split()[0] not in given["f"] | given["m"]
