@@ -15,7 +15,12 @@ stay valid; names keep their gender, script and number of words.
 
 Collision check: over all entities of the corpus, two must not share a
 surrogate, and none may get another entity's own form.  The losers draw again
-until none is left.  First draws are computed in place; only losers (few: the
+until none is left.  The first ``SAME_LENGTH`` draws keep the length; where so
+many collide the space is too small (a lone name of two letters), and each
+further draw is one character longer than the one before: names at their end,
+e-mail addresses at their start, numbers at their end; an IP address becomes a
+private IPv6 address.  So no number of entities exhausts it.  Letters outside
+the Latin, Cyrillic and Greek scripts become Latin letters.  First draws are computed in place; only losers (few: the
 spaces are large) and names of two words whose mentions differ in gender are
 joined, so other common entities are no hot join key and texts without any of
 these are not shuffled.
@@ -27,6 +32,8 @@ get equal results; an empty table gives no rows; ``entities`` gives way.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +45,7 @@ GIVEN = {
     "m": "James Robert John Michael David William Richard Thomas Charles Daniel Peter Paul Jean Pierre Louis Antoine Carlos Miguel Javier Hans Klaus Jürgen Wolfgang Stefan Иван Сергей Алексей Дмитрий Владимир Γιώργος Νίκος Δημήτρης",
 }
 TITLES = {"f": "Mrs Ms Miss Frau Señora Madame Mme", "m": "Mr Herr Señor Monsieur", "n": "Dr Prof"}
-MAX_ATTEMPTS = 64
+SAME_LENGTH = 8
 
 _HEX = "0123456789abcdef"
 _NAME = r"\p{Lu}[\p{Ll}]+(?:-\p{Lu}\p{Ll}+)?"
@@ -111,22 +118,31 @@ def _detail(kind: Column, m: Column, canonical: Column) -> Column:
 def _letters(c: Column, hexdigit: Column, vowel: Column) -> Column:
     """A letter or digit of the class of ``c`` for a hexadecimal digit."""
     pick = lambda row: F.translate(hexdigit, _HEX, row)
+    latin = F.when(vowel, pick("aeiouaeiouaeioua")).otherwise(pick("bdfghklmnprstvwz"))
     return (
         F.when(c.rlike("[0-9]"), pick("0123456789012345"))
-        .when(c.rlike("[a-z]"), F.when(vowel, pick("aeiouaeiouaeioua")).otherwise(pick("bdfghklmnprstvwz")))
+        .when(c.rlike("[a-z]"), latin)
         .when(c.rlike(r"\p{IsCyrillic}"), F.when(vowel, pick("аеиоуаеиоуаеиоуа")).otherwise(pick("бвгдзклмнпрстфхш")))
         .when(c.rlike(r"\p{IsGreek}"), F.when(vowel, pick("αεηιοωαεηιοωαεηι")).otherwise(pick("βγδζθκλμνξπρστφχ")))
         .when(c.rlike(r"\p{IsLatin}"), F.when(vowel, pick("áéíóúàèìòùâêîôûä")).otherwise(pick("bdfghklmnprstvwz")))
+        .when(c.rlike(r"\p{L}"), latin)
         .otherwise(c)
     )
 
 
 def _drawn(kind: Column, canonical: Column, detail: Column, attempt: Column, key: str) -> Column:
-    """The surrogate's canonical form."""
+    """The surrogate's canonical form; drawn over a longer one once ``SAME_LENGTH`` draws have collided."""
     seed = lambda part: F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canonical, attempt.cast("string"), F.lit(part)), 512)
     stream, more = seed("a"), seed("b")
     bits = F.concat(stream, more)
     hexdigit = lambda i: F.substring(bits, F.pmod(i, F.lit(256)) + 1, F.lit(1))
+    extra = F.greatest(attempt - (SAME_LENGTH - 1), F.lit(0))
+    canonical = (
+        F.when(extra == 0, canonical)
+        .when(kind == "name", F.concat(canonical, F.repeat(F.substring(canonical, -1, 1), extra)))
+        .when(kind == "email", F.concat(F.repeat(F.lit("a"), extra), canonical))
+        .otherwise(F.concat(canonical, F.repeat(F.lit("0"), extra)))
+    )
     chars = F.split(canonical, "")
     filled = F.array_join(F.transform(chars, lambda c, i: _letters(c, hexdigit(i), i % 2 == 1)), "")
     # an e-mail address keeps its top-level domain, an identity's country letters stay
@@ -134,7 +150,8 @@ def _drawn(kind: Column, canonical: Column, detail: Column, attempt: Column, key
     iban = F.concat(F.substring(canonical, 1, 2), F.substring(filled, F.lit(3), F.length(canonical)))
     secret = F.array_join(F.transform(chars, lambda c, i: hexdigit(i)), "")
     octet = lambda i: (F.conv(F.substring(stream, 1 + 4 * i, 4), 16, 10).cast("int") % 254 + 1).cast("string")
-    ip = F.concat_ws(".", octet(0), octet(1), octet(2), octet(3))
+    ipv6 = F.concat_ws(":", F.concat(F.lit("fd"), F.substring(stream, 1, 2)), *[F.substring(stream, 4 * i + 1, 4) for i in range(1, 8)])
+    ip = F.when(extra == 0, F.concat_ws(".", octet(0), octet(1), octet(2), octet(3))).otherwise(ipv6)
     body = F.concat(F.substring(canonical, 1, 1), F.substring(filled, F.lit(2), F.length(canonical) - 2))
     check = (F.lit(10) - _luhn(F.concat(body, F.lit("0")))) % 10
     card = F.when(detail == "luhn", F.concat(body, check.cast("string"))).otherwise(F.concat(body, F.substring(filled, -1, 1)))
@@ -182,6 +199,8 @@ def _written(kind: Column, m: Column, drawn: Column) -> Column:
         ),
         "",
     )
+    own = F.length(F.regexp_replace(m, "[^0-9A-Za-z]", ""))
+    spaced = F.concat(spaced, F.substring(drawn, own + 1, F.length(drawn)))  # what a longer draw has more
     cased = F.array_join(
         F.transform(F.split(drawn, ""), lambda c, i: F.when(F.substring(m, i + 1, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), ""
     )
@@ -230,7 +249,7 @@ def _losers(entities: DataFrame, key: str) -> DataFrame:
         .withColumn("drawn", _drawn(F.col("kind"), F.col("canonical"), F.col("detail"), F.col("attempt"), key)),
         "surrogates",
     )
-    for attempt in range(1, MAX_ATTEMPTS):
+    for attempt in count(1):
         # of those that share a draw, the one that has waited longest and then the least keeps it
         keeper = state.groupBy("kind", "drawn").agg(F.min(F.struct("attempt", "canonical")).alias("first"), F.count(F.lit(1)).alias("n"))
         shared = keeper.filter("n > 1").select("kind", "drawn", "first")
@@ -247,7 +266,6 @@ def _losers(entities: DataFrame, key: str) -> DataFrame:
             "drawn", _drawn(F.col("kind"), F.col("canonical"), F.col("detail"), F.lit(attempt), key)
         )
         state = saved(state.join(lost, ["kind", "canonical"], "left_anti").unionByName(redrawn), "surrogates")
-    raise RuntimeError(f"surrogates still collide after {MAX_ATTEMPTS} draws")
 
 
 def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

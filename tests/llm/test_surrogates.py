@@ -110,3 +110,27 @@ def test_mixed_titles_are_one_entity(spark):
         assert of.setdefault(b, a) == a, (b, a)
     assert len(set(of.values())) == 4 and not set(of.values()) & set(bare)
     assert of["Alex Stone"].split()[0] in given["f"] and of["Kim Berg"].split()[0] not in given["f"] | given["m"]
+
+
+def test_more_entities_than_short_forms(spark):
+    """Two letters have 80 forms, and one script had none; longer names take the rest."""
+    names = [f"{a}{b}" for a in "BDLTWXY" for b in "abcdefghijklmnopqrst"] + ["\u0531\u0562", "\u0532\u0561\u0562"]
+    before = ", ".join(f"Mr {n}" for n in names)
+    after = [x.removeprefix("Mr ") for x in _texts(spark, before)[0].split(", ")]
+    assert len(after) == len(set(after)) == len(names) and not set(after) & set(names)
+    assert all(re.fullmatch("[A-Z][a-z]+", a) and len(a) >= len(n) for n, a in zip(names, after, strict=True))
+    assert any(len(a) > len(n) for n, a in zip(names, after, strict=True))
+
+
+def test_longer_draws_of_each_kind(spark):
+    rows = [
+        ("name", "Mrs Mary Li", "mary li", "f", r"Mrs [A-Z][a-zé]+ [A-Z][a-z]{4}"), ("email", "A@b.co", "a@b.co", "", r"[A-Za-z]{4}@[a-z]\.co"),
+        ("ssn", "123-45-6789", "123456789", "", r"\d{3}-\d{2}-\d{7}"), ("phone", "+12345678", "12345678", "", r"\+1\d{10}"),
+        ("card", "4532-0151-1283-0366", "4532015112830366", "luhn", r"4\d{3}-\d{4}-\d{4}-\d{7}"), ("ip", "1.2.3.4", "1.2.3.4", "", r"fd[0-9a-f]{2}(:[0-9a-f]{4}){7}"),
+        ("iban", "DE44 5001 0517", "de4450010517", "", r"DE\d{2} \d{4} \d{7}"), ("secret", "9b0b" * 8, "9b0b" * 8, "", "[0-9a-f]{35}"),
+    ]
+    df = spark.createDataFrame(rows, "kind string, m string, canonical string, detail string, shape string").withColumn("attempt", F.lit(S.SAME_LENGTH + 2))
+    drawn = S._drawn(F.col("kind"), F.col("canonical"), F.col("detail"), F.col("attempt"), KEY)
+    for r in df.withColumn("drawn", drawn).withColumn("s", S._written(F.col("kind"), F.col("m"), F.col("drawn"))).collect():
+        assert re.fullmatch(r.shape, r.s), (r.kind, r.s)
+        assert r.kind != "card" or luhn(re.sub(r"\D", "", r.s)) == 0
