@@ -75,3 +75,39 @@ SELECT doc_id, CASE WHEN longer THEN b_ids ELSE a_ids END AS sentence_ids,
   {words(f'CASE WHEN longer THEN b{last} ELSE a{last} END')} AS loose_ids
 FROM ruled
 """
+
+
+def rule_cascade_sql() -> str:
+    """Measures and verdict of the rules over all documents; no order of rules, as the verdict has none."""
+    return r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+        FROM documents
+    ),
+    w AS (SELECT r, words[p] || ' ' || words[p + 1] || ' ' || words[p + 2] AS window3, p
+          FROM (SELECT r, words, unnest(generate_series(1, len(words) - 2)) AS p FROM d)),
+    twice AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY r, window3) AS n FROM w) WHERE n > 1),
+    covered AS (SELECT r, count(DISTINCT p + k) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r),
+    m AS (
+        SELECT doc_id, len(words)::BIGINT AS n_words,
+               length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+               len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+               (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+               coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+               len(lines) AS n_lines,
+               len(list_filter(words, lambda x: regexp_full_match(x, '(?:[^\pL]*\p{Lu}){2}[^\p{Ll}]*'))) AS n_shouts,
+               len(list_filter(words, lambda x: regexp_matches(x, '\pL'))) AS n_letter_words,
+               len(regexp_extract_all(t, '[0-9]')) AS n_digits,
+               len(regexp_extract_all(t, '(?:\.\.\.|…)[\x20\x09\x0B-\x0D]*(?:\n|\z)')) AS n_dotted_lines,
+               len(regexp_extract_all(t, '(?i)lorem ipsum')) AS n_fillers
+        FROM d LEFT JOIN covered USING (r)
+    ),
+    v AS (SELECT *, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT (base_failed OR n_symbols * 100 > n_words * 10 OR word_chars < n_words * 3 OR word_chars > n_words * 10
+                OR n_dup_lines * 100 > n_lines * 50 OR n_shouts * 100 > n_words * 30 OR n_letter_words * 100 < n_words * 60
+                OR n_digits * 100 > word_chars * 50 OR n_dotted_lines * 100 > n_lines * 30 OR n_fillers > 0) AS kept
+    FROM v
+    """

@@ -14,6 +14,7 @@ from riskfold.llm import (
     oracles,
     packing,
     quality,
+    quality_rules,
     sharding,
     simhash,
     surrogates,
@@ -23,7 +24,7 @@ from riskfold.llm import (
 from riskfold.llm.common import read_table, shared_path, text_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op6_threshold_topk": oracles.topk_sql(), "op7_license_sentences": oracles.licenses_sql()}
+ORACLES: dict[str, str] = {"op6_threshold_topk": oracles.topk_sql(), "op7_license_sentences": oracles.licenses_sql(), "op11_rule_cascade": oracles.rule_cascade_sql()}
 
 #: Key of the catalogue's surrogates; a real run passes its own secret.
 SURROGATE_KEY = "catalogue"
@@ -131,3 +132,13 @@ def op7_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced by surrogates."""
     return surrogates.replace_entities(read_table(spark, sf_dir, "documents", "doc_id", "text"), key=SURROGATE_KEY)
+
+
+@register
+def op11_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures of all documents, and the verdict of the rules' cascade."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    order = [e.name for e in quality_rules.estimate(docs, ready=quality_rules.BASE)]
+    judged = quality_rules.cascade(quality_rules.measure(docs), order, ready=quality_rules.BASE)
+    few, repeated = (quality_rules.RULES[r]({n: F.col(n) for n in quality_rules.BASE}) for r in quality_rules.BASE_RULES)
+    return judged.select("doc_id", *quality_rules.BASE, (few | repeated).alias("base_failed"), "kept")
