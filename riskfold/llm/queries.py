@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfold.llm import (
+    conversation_repair,
     decontaminate,
     licenses,
     line_dedup,
@@ -142,3 +143,11 @@ def op11_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.cascade(quality_rules.measure(docs), order, ready=quality_rules.BASE)
     few, repeated = (quality_rules.RULES[r]({n: F.col(n) for n in quality_rules.BASE}) for r in quality_rules.BASE_RULES)
     return judged.select("doc_id", *quality_rules.BASE, (few | repeated).alias("base_failed"), "kept")
+
+
+@register
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after planted damage."""
+    conversations = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    repaired = conversation_repair.repair(conversation_repair.damaged(conversations), also=conversations.select("conv_id"))
+    return conversation_repair.summaries(repaired)
