@@ -18,6 +18,7 @@ from riskfold.llm import (
     quality_rules,
     sharding,
     simhash,
+    spelling,
     surrogates,
     threshold_topk,
     token_orc,
@@ -151,3 +152,10 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     repaired = conversation_repair.repair(conversation_repair.damaged(conversations), also=conversations.select("conv_id"))
     return conversation_repair.summaries(repaired)
+
+
+@register
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots, after planted misspellings."""
+    found = spelling.spelling_variants(read_table(spark, sf_dir, "documents", "doc_id", "text"), damage=199)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
