@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,3 +47,8 @@ def text_of(name: str = "text") -> Column:
 def text_key(name: str = "text") -> Column:
     """64-bit hash of the text: orders and tells apart rows that share an id."""
     return F.xxhash64(text_of(name))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

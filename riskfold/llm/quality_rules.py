@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskfold.llm.common import saved, without
+from riskfold.llm.common import let, saved, without
 
 SPACE = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\f\r"
@@ -38,11 +38,6 @@ SYMBOLS = "[#*$%&|<>]"
 SAMPLE_ROWS, SAMPLE_SEED = 2_000, 11
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is computed once however often ``body`` reads it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _words(text: Column) -> Column:
     return F.split(F.trim(text, F.lit(SPACES)), SPACE + "+")
 

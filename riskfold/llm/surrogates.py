@@ -1,10 +1,12 @@
 """Personal data replaced by keyed surrogates of the same type, script and format.
 
-Detection finds e-mail and IP addresses, phone, card, bank and identity
-numbers, secrets (long hexadecimal strings), and personal names (behind a title
-or starting with a listed given name).  An entity is a type and a canonical
-form: how a mention is written (case, separators, title) does not matter, so
-all its mentions in the corpus get one surrogate (coreference).  What else a
+Detection finds e-mail and IP addresses (v4 and v6), phone, card, bank and
+identity numbers, secrets (long hexadecimal strings), and personal names (behind
+a title, behind a phrase such as "name is", or starting with a listed given
+name; up to four words).  An entity is a type and a canonical form: how a mention
+is written (case, separators, title) does not matter, so all its mentions in the
+corpus get one surrogate (coreference).  Within a text the family name of one
+full name alone, with a title or without, is that person.  What else a
 draw depends on is settled for each entity, not for each mention: a name's
 gender is the one that its mentions show, and unknown where they show both.
 
@@ -37,7 +39,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskfold.llm.common import saved, text_key, without
+from riskfold.llm.common import let, saved, text_key, without
 
 # Given names by gender, and titles by gender (n: either).
 GIVEN = {
@@ -48,26 +50,55 @@ TITLES = {"f": "Mrs Ms Miss Frau Señora Madame Mme", "m": "Mr Herr Señor Monsi
 SAME_LENGTH = 8
 
 _HEX = "0123456789abcdef"
-_NAME = r"\p{Lu}[\p{Ll}]+(?:-\p{Lu}\p{Ll}+)?"
+_NAME = r"(?:\p{Lu}['’])?\p{Lu}\p{Ll}+(?:-?\p{Lu}\p{Ll}+)*"
+#: Not inside a word of any script.
+_FREE, _END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+# What a full name may stand behind.
+CUES = ("name is ", "Name: ", "Dear ", "Sincerely, ", "Regards, ", "signed ", "Signed ")
 
 
 def _any(words: str) -> str:
     return "(?:" + "|".join(words.split()) + ")"
 
 
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_IPV4 = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
+_IPV6 = (
+    r"(?<![0-9A-Za-z:])(?=[0-9A-Fa-f]{1,4}:)(?=[A-Fa-f:]*[0-9])"
+    r"(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])"
+)
+_PHONE = (
+    r"(?<![\w+])\+?(?:\d{1,3}[ .-])?(?:\(\d{3}\)|\d{3})[ .-]\d{3}[ .-]\d{4}\b|(?<!\w)\+\d{8,14}\b"
+    # international with groups of any size, national with a leading zero
+    r"|(?<![\w+])(?=\+(?:[ .()-]{0,2}\d){8,15}(?![\d]))\+\d{1,3}(?:[ .-]\(?\d{1,4}\)?){2,6}(?!\w)"
+    r"|(?<![\w+.-])(?=0(?:[ -]?\d){8,11}(?![ -]?\d))0\d{1,4}(?:[ -]\d{2,4}){2,4}(?!\w)"
+)
+
 #: Type and pattern, in the order in which they are tried at a position.
 PATTERNS: list[tuple[str, str]] = [
-    ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
+    ("email", r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
     ("secret", r"\b[0-9A-Fa-f]{32,}\b"),
-    ("ip", r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\d)"),
+    ("ip", f"{_IPV6}|{_IPV4}"),
     ("ssn", r"\b\d{3}-\d{2}-\d{4}\b"),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b(?<=\d)"),
     ("card", r"\b\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}\b"),
-    ("phone", r"(?<![\w+])\+?(?:\d{1,3}[ .-])?(?:\(\d{3}\)|\d{3})[ .-]\d{3}[ .-]\d{4}\b|(?<!\w)\+\d{8,14}\b"),
-    ("name", rf"\b{_any(' '.join(TITLES.values()))}\.? {_NAME}(?: {_NAME})?|\b{_any(GIVEN['f'] + ' ' + GIVEN['m'])} {_NAME}\b"),
+    ("phone", _PHONE),
+    (
+        "name",
+        rf"{_FREE}(?:{_any(' '.join(TITLES.values()))}\.? {_NAME}(?: {_NAME}){{0,2}}|{_any(GIVEN['f'] + ' ' + GIVEN['m'])}(?: {_NAME}){{1,3}}{_END}"
+        rf"|(?<=\b(?:{'|'.join(CUES)})){_NAME}(?: {_NAME}){{1,3}}{_END})",
+    ),
 ]
-#: One expression for all types; back-references in it are by name.
-ANY = "|".join(f"(?:{p})" for _, p in PATTERNS).replace("([ -]?)", "(?<sep>[ -]?)").replace(r"\1", r"\k<sep>")
+_OF = dict(PATTERNS)
+#: One expression for all types.  What the next character is decides which are tried, so most positions cost one look;
+#: back-references in it are by name.
+ANY = "|".join(
+    [
+        f"(?<![A-Za-z0-9])(?=[A-Za-z0-9])(?:{_OF['email']}|{_OF['secret']}|{_IPV6})",
+        f"(?=[0-9+(])(?:{_IPV4}|{_OF['ssn']}|{_OF['card']}|{_OF['phone']})",
+        rf"(?=\p{{Lu}})(?:{_OF['iban']}|{_OF['name']})",
+    ]
+).replace("([ -]?)", "(?<sep>[ -]?)").replace(r"\1", r"\k<sep>")
 
 
 def _type(m: Column) -> Column:
@@ -151,7 +182,7 @@ def _drawn(kind: Column, canonical: Column, detail: Column, attempt: Column, key
     secret = F.array_join(F.transform(chars, lambda c, i: hexdigit(i)), "")
     octet = lambda i: (F.conv(F.substring(stream, 1 + 4 * i, 4), 16, 10).cast("int") % 254 + 1).cast("string")
     ipv6 = F.concat_ws(":", F.concat(F.lit("fd"), F.substring(stream, 1, 2)), *[F.substring(stream, 4 * i + 1, 4) for i in range(1, 8)])
-    ip = F.when(extra == 0, F.concat_ws(".", octet(0), octet(1), octet(2), octet(3))).otherwise(ipv6)
+    ip = F.when((extra == 0) & ~F.contains(canonical, F.lit(":")), F.concat_ws(".", octet(0), octet(1), octet(2), octet(3))).otherwise(ipv6)
     body = F.concat(F.substring(canonical, 1, 1), F.substring(filled, F.lit(2), F.length(canonical) - 2))
     check = (F.lit(10) - _luhn(F.concat(body, F.lit("0")))) % 10
     card = F.when(detail == "luhn", F.concat(body, check.cast("string"))).otherwise(F.concat(body, F.substring(filled, -1, 1)))
@@ -214,20 +245,54 @@ def _written(kind: Column, m: Column, drawn: Column) -> Column:
     )
 
 
-def _mentions(text: Column) -> Column:
-    """array<struct(mention, kind, canonical, detail)> in text order."""
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    typed = F.transform(found, lambda m: F.struct(m.alias("mention"), _type(m).alias("kind")))
-    named = F.transform(
-        typed, lambda t: F.struct(t["mention"].alias("mention"), t["kind"].alias("kind"), _canonical(t["kind"], t["mention"]).alias("canonical"))
+def _family(name: Column) -> Column:
+    return F.substring_index(name, " ", -1)
+
+
+def _with_mentions(docs: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` with ``_families``, the family names that stand for one full name of their text, and ``_m``.
+
+    ``_m``: array<struct(mention, kind, canonical, detail, last)> in text order.  A name of one word (behind a title,
+    or one of ``_families`` alone) that is the family name of exactly one full name of the text is that person:
+    ``last`` says that the mention shows the last word only.
+    """
+    text = F.col(text_col)
+    first = docs.withColumn("_first", F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    bare = lambda m: F.regexp_replace(m, rf"^{_any(' '.join(TITLES.values()))}\.? ", "")
+    full = F.array_distinct(F.transform(F.filter("_first", lambda m: m.rlike(rf"^\p{{L}}[^@0-9]* {_NAME}$") & F.contains(bare(m), F.lit(" "))), bare))
+    named = first.withColumn("_full", F.when(F.size("_first") > 0, full).otherwise(F.array().cast("array<string>")))
+    family = F.filter(
+        F.array_distinct(F.transform("_full", _family)), lambda f: F.size(F.filter("_full", lambda n: F.lower(_family(n)) == F.lower(f))) == 1
     )
-    return F.transform(
-        named,
+    known = named.withColumn("_families", family)
+    found = F.when(F.size("_families") > 0, F.regexp_extract_all(text, _own_pattern(), F.lit(0))).otherwise(F.col("_first"))
+    typed = known.withColumn("_found", F.transform(found, lambda m: F.struct(m.alias("mention"), _type(m).alias("kind"))))
+
+    def linked(t: Column) -> Column:
+        own = _canonical(t["kind"], t["mention"])
+        owner = F.get(F.filter("_full", lambda n: F.lower(_family(n)) == own), F.lit(0))
+        of_one = (t["kind"] == "name") & ~F.contains(own, F.lit(" ")) & F.exists("_families", lambda f: F.lower(f) == own)
+        return F.struct(
+            t["mention"].alias("mention"), t["kind"].alias("kind"), F.when(of_one, F.lower(owner)).otherwise(own).alias("canonical"),
+            # a family name alone says as much of the gender as the full name does
+            F.when(of_one & (_gender(t["mention"]) == "n"), owner).otherwise(t["mention"]).alias("shown"), F.coalesce(of_one, F.lit(False)).alias("last"),
+        )
+
+    joined = typed.withColumn("_linked", F.transform("_found", linked))
+    mentions = F.transform(
+        "_linked",
         lambda t: F.struct(
             t["mention"].alias("mention"), t["kind"].alias("kind"), t["canonical"].alias("canonical"),
-            _detail(t["kind"], t["mention"], t["canonical"]).alias("detail"),
+            _detail(t["kind"], t["shown"], t["canonical"]).alias("detail"), t["last"].alias("last"),
         ),
     )
+    return joined.withColumn("_m", mentions).drop("_first", "_full", "_found", "_linked")
+
+
+def _own_pattern() -> Column:
+    """``ANY`` or one of the text's ``_families`` as a word."""
+    names = F.array_join(F.transform("_families", lambda f: F.concat(F.lit(r"\Q"), f, F.lit(r"\E"))), "|")
+    return F.concat(F.lit(ANY + r"|(?<![\p{L}\p{N}_'’-])(?:"), names, F.lit(r")(?![\p{L}\p{N}_-])"))
 
 
 def _settled(mentions: DataFrame) -> DataFrame:
@@ -271,38 +336,44 @@ def _losers(entities: DataFrame, key: str) -> DataFrame:
 def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with surrogates in the text, and ``entities`` (long): the number of mentions replaced."""
     kept = without(docs, ["entities"])
-    found = kept.withColumn("_m", _mentions(F.col(text_col)))
-    entities = saved(_settled(found.select(F.explode("_m").alias("m")).select("m.kind", "m.canonical", "m.detail")), "entities")
     own = ["kind", "canonical"]
+    # the mentions without their texts, a row each: the entities and what is drawn again come from them
+    narrow = saved(
+        _with_mentions(kept.select(F.col(id_col).cast("string").alias("_id"), text_key(text_col).alias("_key"), F.col(text_col).alias("_text")), "_text")
+        .select("_id", "_key", F.explode("_m").alias("m"))
+        .select("_id", "_key", "m.kind", "m.canonical", "m.detail"),
+        "mentions",
+    )
+    entities = saved(_settled(narrow), "entities")
     losers = (
         entities.join(_losers(entities, key), own, "left")
         .filter("mixed OR attempt IS NOT NULL")
         .select(*own, "detail", F.coalesce("attempt", F.lit(0)).alias("attempt"))
     )
-    redrawn = (
-        found.select(F.col(id_col).cast("string").alias("_id"), text_key(text_col).alias("_key"), F.explode("_m").alias("m"))
-        .select("_id", "_key", "m.kind", "m.canonical")
-        .join(losers, own)
-        .groupBy("_id", "_key")
-        .agg(F.collect_set(F.struct(*own, "detail", "attempt")).alias("_redrawn"))
-    )
+    redrawn = narrow.drop("detail").join(losers, own).groupBy("_id", "_key").agg(F.collect_set(F.struct(*own, "detail", "attempt")).alias("_redrawn"))
     same = F.col(id_col).cast("string").eqNullSafe(F.col("_id")) & (text_key(text_col) == F.col("_key"))
-    joined = kept.join(saved(redrawn, "redrawn"), same, "left").drop("_id", "_key")
+    joined = _with_mentions(kept.join(saved(redrawn, "redrawn"), same, "left").drop("_id", "_key"), text_col)
     again = lambda m: F.get(F.filter("_redrawn", lambda r: (r["kind"] == m["kind"]) & (r["canonical"] == m["canonical"])), F.lit(0))
     # NULL where nothing is carried: the filter of a NULL array is NULL, so the first draw and the mention's detail stand
-    looked_up = F.transform(_mentions(F.col(text_col)), lambda m: F.struct(m.alias("m"), again(m).alias("r")))
+    looked_up = F.transform("_m", lambda m: F.struct(m.alias("m"), again(m).alias("r")))
     settled = F.transform(
         looked_up,
         lambda x: F.struct(
-            x["m"]["mention"].alias("mention"), x["m"]["kind"].alias("kind"), x["m"]["canonical"].alias("canonical"),
+            x["m"]["mention"].alias("mention"), x["m"]["kind"].alias("kind"), x["m"]["canonical"].alias("canonical"), x["m"]["last"].alias("last"),
             F.coalesce(x["r"]["detail"], x["m"]["detail"]).alias("detail"), F.coalesce(x["r"]["attempt"], F.lit(0)).alias("attempt"),
         ),
     )
-    swapped = F.transform(settled, lambda m: _written(m["kind"], m["mention"], _drawn(m["kind"], m["canonical"], m["detail"], m["attempt"], key)))
-    gaps = F.split(F.col(text_col), ANY, -1)
+
+    def surrogate(m: Column) -> Column:
+        drawn = _drawn(m["kind"], m["canonical"], m["detail"], m["attempt"], key)
+        return let(drawn, lambda d: _written(m["kind"], m["mention"], F.when(m["last"], _family(d)).otherwise(d)))
+
+    text = F.col(text_col)
+    # the same expression that found the mentions cuts the text around them
+    gaps = F.when(F.size("_families") > 0, F.split(text, _own_pattern(), -1)).otherwise(F.split(text, ANY, -1))
     whole = F.array_join(F.flatten(F.zip_with(gaps, F.col("_swapped"), lambda g, s: F.array(g, F.coalesce(s, F.lit(""))))), "")
-    done = joined.withColumn("_swapped", swapped).withColumn(
-        "_text", F.when(F.size("_swapped") > 0, whole).otherwise(F.col(text_col))
+    done = joined.withColumn("_swapped", F.when(F.size("_m") > 0, F.transform(settled, surrogate))).withColumn(
+        "_text", F.when(F.size("_swapped") > 0, whole).otherwise(text)
     )
     return done.select(
         *[F.col("_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in kept.columns],

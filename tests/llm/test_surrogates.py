@@ -134,3 +134,45 @@ def test_longer_draws_of_each_kind(spark):
     for r in df.withColumn("drawn", drawn).withColumn("s", S._written(F.col("kind"), F.col("m"), F.col("drawn"))).collect():
         assert re.fullmatch(r.shape, r.s), (r.kind, r.s)
         assert r.kind != "card" or luhn(re.sub(r"\D", "", r.s)) == 0
+
+
+def test_partial_names_in_one_text(spark):
+    before = "Mary Miller wrote. Mrs Miller said. Miller left. Mr Stone and Ms Stone met Mary Jane Hill; Hill, hill and Hillary stayed."
+    after = _texts(spark, before, "Miller alone. Mrs Miller too.")
+    full = re.match(r"(\S+ \S+) wrote\. Mrs (\S+) said\. (\S+) left\. Mr (\S+) and Ms (\S+) met (\S+ \S+ \S+); (\S+), hill and Hillary stayed\.", after[0])
+    given, family = full[1].split()
+    assert given in S.GIVEN["f"].split() and family == full[2] == full[3] != "Miller"
+    assert full[4] == full[5] != "Stone"  # no full name to belong to: one entity of one word
+    assert full[7] == full[6].split()[-1] != "Hill" and len(full[6].split()) == 3
+    assert re.fullmatch(r"Miller alone\. Mrs [A-Z][a-z]{5} too\.", after[1]) and "Mrs Miller" not in after[1]
+
+
+def test_one_family_name_of_two_people_links_to_neither(spark):
+    (after,) = _texts(spark, "Mary Miller and James Miller met. Mrs Miller left, Miller stayed.")
+    a, b, lone = re.fullmatch(r"(\S+ \S+) and (\S+ \S+) met\. Mrs (\S+) left, Miller stayed\.", after).groups()
+    assert "Miller" not in a + b + lone and lone not in a.split() + b.split()
+
+
+def test_wider_forms(spark):
+    before = [
+        "call 06 12 34 56 78 now", "call +44 20 7946 0958.", "host 2001:db8:0:0:8a2e:370:7334:1 up", "host fe80::1ff:fe23:4567:890a up", "my name is Priya Sharma, hi",
+        "Dear Wei Zhang,", "Mr McDonald and Mrs O'Brien", "on 01.02.2023 at 12:30:45, 01-02-2023, std::vector a::b",
+    ]
+    shapes = [
+        r"call 0\d( \d\d){4} now", r"call \+44 \d\d \d{4} \d{4}\.", r"host fd[0-9a-f]{2}(:[0-9a-f]{4}){7} up", r"host fd[0-9a-f]{2}(:[0-9a-f]{4}){7} up", r"my name is [A-Z][a-z]{4} [A-Z][a-z]{5}, hi",
+        r"Dear [A-Z][a-z]{2} [A-Z][a-z]{4},", r"Mr [A-Z][a-z]{7} and Mrs [A-Z]'[a-z]{5}", re.escape(before[-1]),
+    ]
+    for a, b, shape in zip(before, _texts(spark, *before), shapes, strict=True):
+        assert re.fullmatch(shape, b), (a, b)
+        assert (a == b) == (a == before[-1])
+
+
+def test_the_quick_expression_finds_what_the_patterns_find(spark):
+    """Each type's own pattern at every position against the one expression that looks at the next character first."""
+    texts = ["x a.b@c.de,a@b.co;9a@x.org -q@z.io éa@b.de", "1.2.3.4 v1.2.3.4 10.0.0.256 1.2.3.4.5", "12-123-45-6789 123-45-6789 1234 5678 9012 3456", "+49 (030) 123-4567 DE44500105175407324931x GB29NWBK60161331926819",
+             "é123-45-6789 " + "af" * 16 + " g" + "0" * 40, "xMary Hill Mary Hill. Ольга Петрова Dr. Hill-Stone Prof Γιώργος"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    named = [p.replace("([ -]?)", "(?<sep>[ -]?)").replace(r"\1", r"\k<sep>") for _, p in S.PATTERNS]
+    plain = "|".join(f"(?:{p})" for p in named)
+    for r in df.select("t", F.regexp_extract_all("t", F.lit(S.ANY), F.lit(0)).alias("a"), F.regexp_extract_all("t", F.lit(plain), F.lit(0)).alias("b")).collect():
+        assert r.a == r.b, r.t
