@@ -7,12 +7,14 @@ behind it.  Encoding such chunks one by one and joining the ids therefore
 gives exactly the ids of the whole text (``tests/llm/test_tokens.py`` holds
 it against ``Tokenizer.encode``).  Natural text repeats its words, so a
 bounded per-worker cache of chunk ids saves most of the encoder's work.
-Texts with runs of white space take the plain whole-text call.
+Texts with runs of white space, or with the string of an added token (which
+the tokenizer turns into its special id), take the plain whole-text call.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, repeat
@@ -51,7 +53,8 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(path)
-        self._tok.encode_special_tokens = True  # special strings in a text are ordinary text
+        added = sorted((t.content for t in self._tok.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self._added = "|".join(re.escape(t) for t in added)  # a text that holds one takes the whole-text call
         self._model = self._tok.model
         self._bytes = _byte_letters()
         self._spaced = spaced
@@ -133,6 +136,20 @@ class ChunkEncoder:
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one int32 array, and the number of ids of each text (no text may be null)."""
+        held = pc.match_substring_regex(texts, self._added) if self._added else None
+        if held is None or not pc.any(held).as_py():
+            return self._encode_chunks(texts)
+        ids, counts = self._encode_chunks(pc.if_else(held, "", texts))
+        at = np.flatnonzero(held.to_numpy(zero_copy_only=False))
+        own = [np.array(x, np.int32) for x in self._encode([texts[int(i)].as_py() for i in at])]
+        starts = (np.cumsum(counts) - counts)[at]
+        ids = np.insert(ids, np.repeat(starts, [len(x) for x in own]), np.concatenate(own))
+        counts = counts.copy()
+        counts[at] = [len(x) for x in own]
+        return ids, counts
+
+    def _encode_chunks(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` for texts without an added token."""
         if self._known > self._cap:
             self._reset()
         if not self._known:

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from riskfold.llm import token_orc as O
 from riskfold.llm.queries import tokenizer_file
@@ -13,7 +14,7 @@ from riskfold.llm.tokens import ChunkEncoder, slices
 FILES = [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)]
 ODD = [
     "", " ", "\n", "a  b", "it's we'll 'tis", "a\x1cb c", "Σίσυφος ΟΔΟΣ. x", "é é ́x y", "x_ y_. z9.",
-    "<|endoftext|> a<|startoftext|>b", "日本語 テスト。", "½. ²! x", "a\tb c", "a\xa0b", "don't! stop", "  lead", "trail ", "naïve Straße, ÀÉ.",
+    "<|endoftext|> a<|startoftext|>b", "a <|endoftext|> b", "<|startoftext|>x", "<|endoftext|>", "x<|endoftext|><|endoftext|>y  z", "<|endoftext |>", "日本語 テスト。", "½. ²! x", "a\tb c", "a\xa0b", "don't! stop", "  lead", "trail ", "naïve Straße, ÀÉ.",
 ]
 
 
@@ -22,10 +23,11 @@ def test_same_ids_as_whole_texts(name, spaced):
     rng = random.Random(1)
     alpha = "abZ9 \n.,!'_é́日\t% ²Σß"
     texts = ODD + ["".join(rng.choice(alpha) for _ in range(rng.randint(1, 30))) for _ in range(1500)]
-    enc = ChunkEncoder(tokenizer_file(name), spaced, cache_chunks=200)
+    enc, plain = ChunkEncoder(tokenizer_file(name), spaced, cache_chunks=200), Tokenizer.from_file(tokenizer_file(name))
+    texts += [t + "<|endoftext|>" + u for t, u in zip(texts[:60], texts[60:120], strict=True)]
     for at, part in slices(pa.array(texts), 500):
         ids, counts = enc.encode(part)
-        want = [enc._tok.encode(t, add_special_tokens=False).ids for t in texts[at : at + len(part)]]
+        want = [plain.encode(t, add_special_tokens=False).ids for t in texts[at : at + len(part)]]
         assert counts.tolist() == [len(w) for w in want]
         assert ids.tolist() == [x for w in want for x in w]
 
@@ -41,7 +43,7 @@ def test_round_trip(spark, tmp_path):
     rows = [(9, "b c", None, "x"), (3, None, None, None), (None, "n", None, None), (3, "a\n\nb", "1", "2"), (5, "long word " * 30_000, None, None), (9, "b c", None, "x")]
     path = _rows(spark, tmp_path, rows)
     got = O.ids_crc32(O.read_positions(spark, path)).orderBy("start").collect()
-    enc = ChunkEncoder(tokenizer_file("byte_bpe_50k.json"), True)._tok
+    enc = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
     full = [(d, [*enc.encode(t or "", add_special_tokens=False).ids, 2]) for d, t, _, _ in rows]
     assert [r.doc_id for r in got] == [None, 3, 3, 5, 9, 9]
     start = 0
