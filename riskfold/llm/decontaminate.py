@@ -1,26 +1,30 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-1. Counts.  How often each word n-gram of the test items occurs in the whole
-   corpus; a batch's counts are summed before the shuffle.
-2. Seeds.  An item's n-grams that are rare beside its others: at most
-   ``RARE`` times the item's median count.  (A leak lifts all counts of its
-   item alike, so a passage that leaks often keeps its seeds.)  Any copy that
-   keeps four words in five has three neighbouring words intact, so the default
-   length is three.
-3. Join.  Seeds found in a text put its passage against the item, along the
-   diagonal where they meet.  An alignment that passes has at most
-   2 * words * (1 - threshold) gaps, so the passage reaches that far on both
-   sides, and seeds whose diagonals are no further apart share one passage.
-4. Score.  Smith-Waterman over words (match 2, mismatch and gap -1); the score
+1. Score.  Smith-Waterman over words (match 2, mismatch and gap -1); the score
    over its greatest value is the similarity, and ``threshold`` 0.7 is about
-   one word in five replaced, dropped or added.
-
-Only test items travel to the tasks, ``items_per_pass`` at a time (their words
-and n-grams are the broadcast's size bound); the corpus is never shuffled.
+   one word in five replaced or dropped, or one added for every two.
+2. Bound.  An alignment of k matches and b other steps has a score of 2k - b, so
+   one that passes for an item of m words has b <= 2k - 2m * threshold, and its
+   matches stand in at most b + 1 runs: at least m * (2 * threshold - 1) - 1 pairs
+   of neighbouring words of the item are intact, on diagonals at most
+   2m * (1 - threshold) apart.
+3. Counts.  How often each word pair of the test items occurs in the whole
+   corpus; a batch's counts are summed before the shuffle.
+4. Seeds.  Of an item's pairs the most frequent ones are left out, half as many
+   as must be intact; the rest are its rare seeds.  Whatever pairs an edited copy
+   has lost, the other half of those it must keep are seeds.
+5. Join.  Seeds found in a text put its passage against the item, along the
+   diagonal where they meet; seeds whose diagonals are no further apart than the
+   gaps of a passing alignment share one passage.  A passage with too few
+   different seeds of the item cannot pass; the others are scored.
+
+So no passage that passes is missed.  Only test items travel to the tasks,
+``items_per_pass`` at a time (their words and pairs are the broadcast's size
+bound); the corpus is never shuffled.
 
 Rules: words are runs of letters, digits and underscores in lower case; items
-or texts without an n-gram match nothing; NULL and empty texts likewise; equal
-items and repeated rows each give their own matches; empty tables give no rows.
+under three words match nothing; NULL and empty texts likewise; equal items and
+repeated rows each give their own matches; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -38,7 +42,8 @@ from pyspark.sql import types as T
 from riskfold.llm.common import saved, text_key, text_of
 
 WORD = re.compile(r"\w+")
-RARE = 4
+#: Words of a seed, of the least item, and the threshold above which the bound on intact pairs holds for all items.
+PAIR, LEAST_WORDS, LEAST_THRESHOLD = 2, 3, 2 / 3
 
 MATCHES = T.StructType(
     [
@@ -53,19 +58,25 @@ MATCHES = T.StructType(
 
 
 class Items:
-    """Test items as word numbers, and their n-grams as single numbers."""
+    """Test items as word numbers, and their pairs of neighbouring words as single numbers."""
 
-    def __init__(self, rows: list[tuple[int, str]], n: int):
-        self.n = n
+    def __init__(self, rows: list[tuple[int, str]], threshold: float):
+        if threshold <= LEAST_THRESHOLD:
+            raise ValueError(f"the threshold must be over {LEAST_THRESHOLD:.3f}: below it a passing copy need not keep two neighbouring words")
         self.ids = [i for i, _ in rows]
         words = [WORD.findall((t or "").lower()) for _, t in rows]
         self.number = {w: k for k, w in enumerate(sorted({w for ws in words for w in ws}), 1)}
         self.words = [np.array([self.number[w] for w in ws], np.int64) for ws in words]
         self.sizes = np.array([len(w) for w in self.words], np.int64)
         self.base = len(self.number) + 1
-        if self.base**n >= 2**63:
+        if self.base**PAIR >= 2**63:
             raise ValueError("too many distinct words for one pass: lower items_per_pass")
-        grams = [self.grams(w) for w in self.words]
+        # a rounding error must not ask for one more
+        intact = np.maximum(np.ceil(self.sizes * (2 * threshold - 1) - 1 - 1e-6), 1).astype(np.int64)
+        self.spared = intact // 2
+        self.needed = intact - self.spared
+        self.reach = np.floor(2 * self.sizes * (1 - threshold) + 1e-6).astype(np.int64)
+        grams = [self.grams(w) if len(w) >= LEAST_WORDS else np.zeros(0, np.int64) for w in self.words]
         self.gram = np.concatenate([np.zeros(0, np.int64), *grams])
         self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         self.place = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(g)) for g in grams]]).astype(np.int64)
@@ -76,25 +87,19 @@ class Items:
         return np.fromiter(map(self.number.get, words, repeat(0)), np.int64, len(words))
 
     def grams(self, words: np.ndarray) -> np.ndarray:
-        """The n-gram at each position; -1 where a word is in no item."""
-        m = len(words) - self.n + 1
-        if m < 1:
+        """The pair at each position; -1 where a word is in no item."""
+        if len(words) < PAIR:
             return np.zeros(0, np.int64)
-        code, whole = np.zeros(m, np.int64), np.ones(m, bool)
-        for k in range(self.n):
-            part = words[k : k + m]
-            code = code * self.base + part
-            whole &= part > 0
-        return np.where(whole, code, -1)
+        return np.where((words[:-1] > 0) & (words[1:] > 0), words[:-1] * self.base + words[1:], -1)
 
     def seeds(self, counts: dict[int, int]) -> np.ndarray:
-        """Which of ``gram`` are rare beside the other n-grams of their item."""
-        seen = np.array([counts.get(int(g), 0) for g in self.gram], np.float64)
-        keep = np.zeros(len(seen), bool)
-        for i in range(len(self.ids)):
-            own = self.item == i
-            if own.any():
-                keep |= own & (seen <= RARE * max(1.0, np.median(seen[own])))
+        """Which of ``gram`` are seeds: all of an item's pairs but its ``spared`` most frequent ones (ties: the first)."""
+        seen = np.fromiter((counts.get(g, 0) for g in self.gram.tolist()), np.int64, len(self.gram))
+        order = np.lexsort((self.place, -seen, self.item))
+        first = np.searchsorted(self.item[order], np.arange(len(self.ids)))
+        rank = np.arange(len(order)) - first[self.item[order]]
+        keep = np.zeros(len(order), bool)
+        keep[order] = rank >= self.spared[self.item[order]]
         return keep
 
 
@@ -148,22 +153,31 @@ def matches_in(words: np.ndarray, items: Items, order: np.ndarray, threshold: fl
         return []
     at = np.repeat(where, count)
     met = order[np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
+    item = items.item[met]
+    enough = np.bincount(item, minlength=len(items.ids)) >= items.needed
+    met, at, item = met[enough[item]], at[enough[item]], item[enough[item]]
+    if not len(met):
+        return []
     # one passage for each item and stretch of neighbouring diagonals
-    spots = np.unique(np.stack([items.item[met], at - items.place[met]], axis=1), axis=0)
-    # each gap costs one of the greatest score, so many can still pass (a rounding error must not take one off)
-    reach = np.floor(2 * items.sizes[spots[:, 0]] * (1 - threshold) + 1e-6).astype(np.int64)
-    new = np.concatenate([[True], (np.diff(spots[:, 0]) != 0) | (np.diff(spots[:, 1]) > reach[1:])])
+    diagonal = at - items.place[met]
+    by = np.lexsort((diagonal, item))
+    item, diagonal, place = item[by], diagonal[by], items.place[met[by]]
+    new = np.concatenate([[True], (np.diff(item) != 0) | (np.diff(diagonal) > items.reach[item[1:]])])
+    stretch = np.cumsum(new) - 1
+    different = np.unique(stretch * (int(items.sizes.max()) + 1) + place) // (int(items.sizes.max()) + 1)
     first = np.flatnonzero(new)
+    last = np.append(first[1:], len(item)) - 1
+    passing = np.flatnonzero(np.bincount(different, minlength=len(first)) >= items.needed[item[first]])
     best: dict[int, tuple[int, float, int, int]] = {}
-    for a, b in zip(first, np.append(first[1:], len(spots)), strict=True):
-        i = int(spots[a, 0])
-        item = items.words[i]
-        begin = max(0, int(spots[a, 1]) - int(reach[a]))
-        passage = words[begin : int(spots[b - 1, 1]) + len(item) + int(reach[a])]
-        similarity, end = smith_waterman(item, passage)
+    for a, b in zip(first[passing].tolist(), last[passing].tolist(), strict=True):
+        i = int(item[a])
+        own, reach = items.words[i], int(items.reach[i])
+        begin = max(0, int(diagonal[a]) - reach)
+        passage = words[begin : int(diagonal[b]) + len(own) + reach]
+        similarity, end = smith_waterman(own, passage)
         if similarity >= threshold and (i not in best or similarity > best[i][1]):
             last = begin + end
-            _, back = smith_waterman(item[::-1], words[begin : last + 1][::-1])
+            _, back = smith_waterman(own[::-1], words[begin : last + 1][::-1])
             best[i] = (i, similarity, last - back, last)
     return [best[i] for i in sorted(best)]
 
@@ -171,7 +185,6 @@ def matches_in(words: np.ndarray, items: Items, order: np.ndarray, threshold: fl
 def find_matches(
     docs: DataFrame,
     benchmark: DataFrame,
-    n: int = 3,
     threshold: float = 0.7,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -181,7 +194,7 @@ def find_matches(
 ) -> DataFrame:
     """(doc_id, text_key, item_id, similarity, first_word, last_word): texts that hold a test item, edited or not.
 
-    The best passage of each text and item; positions count words from 0.
+    The best passage of each text and item; positions count words from 0.  ``threshold`` must be over 2/3.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -192,7 +205,7 @@ def find_matches(
     found = None
     for part in range(parts):
         own = listed if parts == 1 else listed.filter(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == part)
-        items = Items(sorted(((r.i, r.t) for r in own.toLocalIterator()), key=str), n)
+        items = Items(sorted(((r.i, r.t) for r in own.toLocalIterator()), key=str), threshold)
         keep = items.seeds(_ngram_counts(docs, items, text_col))
         order = np.flatnonzero(keep)[np.argsort(items.gram[keep], kind="stable")]
         shared = spark.sparkContext.broadcast((items, order))

@@ -110,3 +110,47 @@ def test_long_insertions_against_brute_force(spark, size, inserted):
     scores = {d: plain_score(item, t.split()) for d, t, _ in docs}
     assert {r.doc_id: round(r.similarity, 6) for r in rows} == {d: round(s, 6) for d, s in scores.items() if s >= 0.7}
     assert any(s >= 0.7 for s in scores.values())
+
+
+def _edited(rng, words, kind):
+    out = list(words)
+    if kind == "inserted":
+        return [x for i, w in enumerate(words) for x in ([w, "new"] if i % 2 else [w])]
+    for _ in range(rng.randint(0, len(words) // 3)):
+        k = rng.randrange(len(out))
+        out[k : k + 1] = {"replaced": ["new"], "dropped": [], "mixed": rng.choice([[], ["new"], [out[k], "more"], ["x", out[k]]])}[kind]
+    return out
+
+
+def test_every_passing_copy_is_found(spark):
+    """Copies that are replaced, dropped, added to and mixed, up to the threshold: found are those whose full alignment passes."""
+    rng = random.Random(12)
+    common = ["of", "the", "and", "to", "in"]
+    items = []
+    for i in range(40):
+        items.append((i, " ".join(rng.choice(common) if rng.random() < 0.5 else w for w in _words(rng, rng.choice([3, 4, 5, 8, 20, 40, 70]))), None))
+    docs = []
+    for i, text, _ in items:
+        for kind in ("inserted", "replaced", "dropped", "mixed", "mixed"):
+            pad = [rng.choice(common) for _ in range(rng.randint(0, 30))]
+            docs.append((len(docs), " ".join(pad + _edited(rng, text.split(), kind) + [rng.choice(common) for _ in range(10)]), "x"))
+    found = {(r.doc_id, r.item_id): round(r.similarity, 6) for r in D.find_matches(*_tables(spark, docs, items)).collect()}
+    want = {}
+    for d, t, _ in docs:
+        for i, x, _ in items:
+            if (score := plain_score(x.split(), t.split())) >= 0.7:
+                want[d, i] = round(score, 6)
+    assert found == want
+    inserted = [d for d in range(0, len(docs), 5)]
+    assert sum((d, d // 5) in want for d in inserted) > 30
+
+
+def test_seeds_spare_the_most_frequent_pairs():
+    items = D.Items([(1, "a b c d e f g h i j k l m n o p q r s t"), (2, "x y"), (3, "u v w")], 0.7)
+    # 20 words: 7 pairs must be intact, the 3 most frequent are no seeds, and 4 different seeds are needed
+    assert items.spared.tolist()[::2] == [3, 0] and items.needed.tolist()[::2] == [4, 1]
+    counts = {int(g): 100 for g in items.gram[5:7]} | {int(items.gram[9]): 50}
+    keep = items.seeds(counts)
+    assert np.flatnonzero(~keep).tolist() == [5, 6, 9] and keep.sum() == 19 - 3 + 2
+    with pytest.raises(ValueError):
+        D.Items([], 0.6)
