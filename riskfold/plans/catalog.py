@@ -56,6 +56,6 @@ _block_query("block_installments", B.INSTALLMENTS)
 _block_query("block_card", B.CREDIT_CARD)
 _block_query("block_pos", B.POS_CASH)
 
-from riskfold.plans import q_chain, q_eval, q_explain, q_grids, q_models, q_screen, q_store  # noqa: E402,F401
+from riskfold.plans import q_chain, q_eval, q_explain, q_grids, q_models, q_raw, q_screen, q_store  # noqa: E402,F401
 
 FLAGSHIP = "feature_store"
