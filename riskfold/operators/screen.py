@@ -1,15 +1,21 @@
-"""Univariate feature screening in long format.
-
-The candidate matrix is turned into ``(key, split, label, feature, value)``
-rows once; every statistic is then a group-by on ``feature`` (and value or
-bucket), so 600 features cost one shuffle each stage instead of 600 serial
-passes, and no feature or value is collected.
-
-* AUC (tie-averaged Mann-Whitney) and KS (tie-grouped) come from one
-  distinct-value table and distributed prefix sums over the value order.
-* Bins are the distinct development deciles (exact, interpolated) with the
+"""Univariate feature screening from one count structure.
+
+The wide candidate matrix is counted once: (feature number, value) with the
+development rows, labelled rows and bads and the validation rows that have it.
+The counts are summed inside each task before the shuffle, so a value that most
+rows share costs one row a task.  Everything else is read off that table:
+
+* missing rates and distinct counts are its NULL row and its number of rows;
+* prefix sums in the order of the values (one range sort, of counts, not rows)
+  give AUC (tie-averaged Mann-Whitney) and KS (tie-grouped), and the row that
+  covers a rank gives an exact quantile;
+* bins are the distinct development deciles (exact, interpolated) with the
   outer edges opened to +-inf; a binary or constant column collapses to one
-  bin.  Buckets are right-closed, NULL is its own "missing" bucket.
+  bin.  Buckets are right-closed, NULL is its own "missing" bucket.  A value's
+  counts go to its bucket, from which IV and PSI come.
+
+Tables with a row (or eleven) a feature are bounded by the number of columns
+and broadcast; no feature or value is collected.
 """
 
 from __future__ import annotations
@@ -20,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskfold.functions.core import bucket_right, round_significant
-from riskfold.operators.rank import exact_quantiles, prefix_sums
+from riskfold.operators.rank import prefix_sums
+from riskfold.session import materialise
 
 # Fixed screening thresholds.
 MISSING_MAX = 0.95
@@ -46,127 +53,126 @@ def to_long(df: DataFrame, features: Sequence[str], keys: Sequence[str], digits:
     return long.withColumn("value", F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v if digits is None else round_significant(v, digits)))
 
 
-def basic_stats(long: DataFrame, split_col: str = "screening_split", approx_distinct: bool = False) -> DataFrame:
-    """Missing rates and distinct counts per feature for development and validation.
+COUNTED = ("dev_rows", "dev_labelled", "dev_bad", "val_rows")
+
+
+def value_counts(wide: DataFrame, features: Sequence[str], digits: int | None = None, split_col: str = "screening_split", label: str = "TARGET") -> DataFrame:
+    """(f, value, dev_rows, dev_labelled, dev_bad, val_rows): f is the feature's number, value NULL where missing (+-inf and NaN too).
 
-    ``approx_distinct=True`` uses HyperLogLog++ sketches (no Expand of the
-    long table); the default is exact, as the reference computes it.
+    ``digits`` merges values that agree in that many significant digits (see :func:`to_long`).
     """
-    s = F.col(split_col)
-    nd = (lambda c: F.approx_count_distinct(c, 0.01)) if approx_distinct else F.count_distinct
-    return long.groupBy("feature").agg(
-        F.avg(F.when(s == DEV, F.col("value").isNull().cast("double"))).alias("development_missing_rate"),
-        F.avg(F.when(s == VAL, F.col("value").isNull().cast("double"))).alias("validation_missing_rate"),
-        nd(F.when(s == DEV, F.col("value"))).alias("development_nunique"),
-        nd(F.when(s == VAL, F.col("value"))).alias("validation_nunique"),
+    rows = wide.filter(F.col(split_col).isin(DEV, VAL)).select(
+        (F.col(split_col) == DEV).alias("dev"),
+        F.col(label).cast("double").alias("y"),
+        F.posexplode(F.array(*[F.col(f"`{f}`").cast("double") for f in features])).alias("f", "v"),
+    )
+    v = F.col("v") if digits is None else round_significant(F.col("v"), digits)
+    value = F.when(~F.isnan("v") & (F.abs("v") != F.lit(float("inf"))), v)
+    dev, labelled = F.col("dev"), F.col("y").isNotNull()
+    return rows.withColumn("value", value).groupBy("f", "value").agg(
+        F.count_if(dev).alias("dev_rows"),
+        F.count_if(dev & labelled).alias("dev_labelled"),
+        F.coalesce(F.sum(F.when(dev, F.col("y"))), F.lit(0.0)).alias("dev_bad"),
+        F.count_if(~dev).alias("val_rows"),
     )
 
 
-def value_table(long: DataFrame, label: str = "TARGET") -> DataFrame:
-    """(feature, value, n, bad) over rows with value and label (map-side combined)."""
-    rows = long.filter(F.col("value").isNotNull() & F.col(label).isNotNull())
-    return rows.groupBy("feature", "value").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("double")).alias("bad")
+def _totals(counts: DataFrame) -> DataFrame:
+    """A row a feature: rows, distinct values and labels."""
+    there = F.col("value").isNotNull()
+    part = lambda c: F.sum(F.when(there, F.col(c)).otherwise(0))
+    missing = lambda c: F.try_divide(F.sum(F.when(there, 0).otherwise(F.col(c))), F.sum(c))
+    return counts.groupBy("f").agg(
+        missing("dev_rows").alias("development_missing_rate"),
+        missing("val_rows").alias("validation_missing_rate"),
+        F.count_if(there & (F.col("dev_rows") > 0)).alias("development_nunique"),
+        F.count_if(there & (F.col("val_rows") > 0)).alias("validation_nunique"),
+        part("dev_rows").alias("n"),
+        part("dev_labelled").alias("labelled"),
+        part("dev_bad").alias("bads"),
+        F.count_if(there & (F.col("dev_labelled") > 0)).alias("labelled_values"),
     )
 
 
-def auc_ks(values: DataFrame) -> DataFrame:
-    """feature, auc, ks from a distinct-value table."""
-    cum = prefix_sums(values, [F.col("value")], {"cn": F.col("n"), "cb": F.col("bad")}, ["feature"])
-    tot = values.groupBy("feature").agg(
-        F.sum("n").alias("_N"), F.sum("bad").alias("_B"), F.count(F.lit(1)).alias("nvals")
-    )
-    j = cum.join(F.broadcast(tot), "feature")
-    avg_rank = F.col("cn") - F.col("n") + (F.col("n") + F.lit(1.0)) / F.lit(2.0)
-    G = F.col("_N") - F.col("_B")
-    per = j.groupBy("feature", "_N", "_B", "nvals").agg(
-        F.sum(F.col("bad") * avg_rank).alias("_R"),
-        F.max(F.abs(F.col("cb") / F.col("_B") - (F.col("cn") - F.col("cb")) / G)).alias("ks_raw"),
+def _auc_ks(ranked: DataFrame) -> DataFrame:
+    """f, auc, ks from the values with their prefix sums and totals."""
+    bads, goods = F.col("bads"), F.col("labelled") - F.col("bads")
+    avg_rank = F.col("c_labelled") - F.col("dev_labelled") + (F.col("dev_labelled") + F.lit(1.0)) / F.lit(2.0)
+    per = ranked.filter("dev_labelled > 0").groupBy("f", "labelled", "bads", "labelled_values").agg(
+        F.sum(F.col("dev_bad") * avg_rank).alias("_ranks"),
+        F.max(F.abs(F.try_divide(F.col("c_bad"), bads) - F.try_divide(F.col("c_labelled") - F.col("c_bad"), goods))).alias("_ks"),
     )
-    valid = (F.col("_B") > 0) & (F.col("_N") - F.col("_B") > 0) & (F.col("nvals") >= 2)
-    P, Ng = F.col("_B"), F.col("_N") - F.col("_B")
+    valid = (bads > 0) & (goods > 0) & (F.col("labelled_values") >= 2)
     return per.select(
-        "feature",
-        F.when(valid, (F.col("_R") - P * (P + 1) / F.lit(2.0)) / (P * Ng)).alias("auc"),
-        F.when(valid, F.col("ks_raw")).alias("ks"),
+        "f",
+        F.when(valid, F.try_divide(F.col("_ranks") - bads * (bads + 1) / F.lit(2.0), bads * goods)).alias("auc"),
+        F.when(valid, F.col("_ks")).alias("ks"),
     )
 
 
-def decile_edges(long_dev: DataFrame, key: str = "SK_ID_CURR", bins: int = BINS) -> DataFrame:
-    """feature, edges: distinct interpolated quantiles with the ends opened to +-inf.
+def _edges(ranked: DataFrame, bins: int = BINS) -> DataFrame:
+    """f, edges: distinct interpolated development quantiles with the ends opened to +-inf, of features with two values or more.
 
-    Only features with at least two distinct values get edges.
+    A value covers the ranks behind those of the values before it; a quantile lies between the values that cover the
+    ranks around its position (numpy's linear rule).
     """
-    probs = [i / bins for i in range(bins + 1)]
-    q = exact_quantiles(long_dev, "value", probs, ["feature"], key_col=key)
-    arr = q.groupBy("feature").agg(
-        F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("prob_idx", "value"))), lambda s: s["value"])).alias("_q")
+    n = F.col("n")
+    place = lambda p: (n - 1) * F.lit(p)
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), place(i / bins).alias("h"), (F.floor(place(i / bins)) + 1).alias("lo"), (F.ceil(place(i / bins)) + 1).alias("hi")) for i in range(bins + 1)])
+    covers = lambda r: (F.col("c_dev") - F.col("dev_rows") < r) & (r <= F.col("c_dev"))
+    met = (
+        ranked.filter("dev_rows > 0 AND development_nunique >= 2")
+        .select("f", "value", "dev_rows", "c_dev", F.explode(F.filter(wanted, lambda w: covers(w["lo"]) | covers(w["hi"]))).alias("w"))
+        .select("f", "w.i", "w.h", F.when(covers(F.col("w.lo")), F.col("value")).alias("at_lo"), F.when(covers(F.col("w.hi")), F.col("value")).alias("at_hi"))
+        .groupBy("f", "i", "h")
+        .agg(F.max("at_lo").alias("a"), F.max("at_hi").alias("b"))
     )
+    t, a, b = F.col("h") - F.floor("h"), F.col("a"), F.col("b")
+    q = met.withColumn("q", F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (F.lit(1.0) - t)))
+    cuts = q.groupBy("f").agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("i", "q"))), lambda s: s["q"])).alias("_q"))
     inner = F.slice(F.col("_q"), 2, F.greatest(F.size("_q") - 2, F.lit(0)))
     edges = F.concat(F.array(F.lit(float("-inf"))), inner, F.array(F.lit(float("inf"))))
-    return arr.filter(F.size("_q") >= 2).select("feature", edges.alias("edges"))
-
-
-def bucketed(long: DataFrame, edges: DataFrame) -> DataFrame:
-    """Add ``bucket``: right-closed bin (1..k), 0 = missing; NULL when the feature has no bins."""
-    j = long.join(F.broadcast(edges), "feature", "left")
-    b = F.when(F.col("edges").isNull(), F.lit(None)).when(F.col("value").isNull(), F.lit(0)).otherwise(
-        bucket_right(F.col("value"), F.col("edges"))
+    return cuts.filter(F.size("_q") >= 2).select("f", edges.alias("edges"))
+
+
+def _iv_psi(counts: DataFrame, edges: DataFrame) -> DataFrame:
+    """f, iv, psi_development_validation from the counts of each bucket (at most bins + 1 rows a feature)."""
+    bucket = F.when(F.col("value").isNull(), F.lit(0)).otherwise(bucket_right(F.col("value"), F.col("edges")))
+    cells = counts.join(F.broadcast(edges), "f").withColumn("bucket", bucket.cast("int")).groupBy("f", "bucket").agg(*[F.sum(c).alias(c) for c in COUNTED])
+    good = F.col("dev_rows") - F.col("dev_bad")
+    tot = cells.groupBy("f").agg(F.sum("dev_bad").alias("TB"), F.sum(good).alias("TG"), F.sum("dev_rows").alias("TA"), F.sum("val_rows").alias("TV"))
+    j = cells.join(F.broadcast(tot), "f")
+    change = lambda x, y: (x - y) * F.log((x + F.lit(EPS)) / (y + F.lit(EPS)))
+    iv = change(F.try_divide("dev_bad", "TB"), F.try_divide(good, F.col("TG")))
+    psi = change(F.try_divide("val_rows", "TV"), F.try_divide("dev_rows", "TA"))
+    in_dev, in_either = F.col("dev_rows") > 0, (F.col("dev_rows") > 0) | (F.col("val_rows") > 0)
+    return j.groupBy("f", "TB", "TG").agg(F.sum(F.when(in_dev, iv)).alias("_iv"), F.sum(F.when(in_either, psi)).alias("psi_development_validation")).select(
+        "f", F.when((F.col("TB") > 0) & (F.col("TG") > 0), F.col("_iv")).alias("iv"), "psi_development_validation"
     )
-    return j.withColumn("bucket", b.cast("int")).drop("edges")
 
 
-def information_value(bucketed_dev: DataFrame, label: str = "TARGET") -> DataFrame:
-    cells = bucketed_dev.filter(F.col("bucket").isNotNull()).groupBy("feature", "bucket").agg(
-        F.sum(F.col(label).cast("double")).alias("bad"), F.count(F.lit(1)).alias("cnt")
-    )
-    cells = cells.withColumn("good", F.col("cnt") - F.col("bad"))
-    tot = cells.groupBy("feature").agg(F.sum("bad").alias("TB"), F.sum("good").alias("TG"))
-    j = cells.join(F.broadcast(tot), "feature")
-    bd, gd = F.col("bad") / F.col("TB"), F.col("good") / F.col("TG")
-    term = (bd - gd) * F.log((bd + F.lit(EPS)) / (gd + F.lit(EPS)))
-    return j.groupBy("feature", "TB", "TG").agg(F.sum(term).alias("_iv")).select(
-        "feature", F.when((F.col("TB") > 0) & (F.col("TG") > 0), F.col("_iv")).alias("iv")
-    )
-
-
-def psi(bucketed_both: DataFrame, base_split: str = DEV, compare_split: str = VAL, split_col: str = "screening_split") -> DataFrame:
-    s = F.col(split_col)
-    cells = bucketed_both.filter(F.col("bucket").isNotNull()).groupBy("feature", "bucket").agg(
-        F.count(F.when(s == base_split, 1)).alias("a"), F.count(F.when(s == compare_split, 1)).alias("b")
-    )
-    tot = cells.groupBy("feature").agg(F.sum("a").alias("TA"), F.sum("b").alias("TB"))
-    j = cells.join(F.broadcast(tot), "feature").filter((F.col("a") > 0) | (F.col("b") > 0))
-    da, db = F.col("a") / F.col("TA"), F.col("b") / F.col("TB")
-    term = (db - da) * F.log((db + F.lit(EPS)) / (da + F.lit(EPS)))
-    return j.groupBy("feature").agg(F.sum(term).alias("psi_development_validation"))
-
-
-def screen(long: DataFrame, manifest: DataFrame, key: str = "SK_ID_CURR", label: str = "TARGET") -> DataFrame:
+def statistics(wide: DataFrame, features: Sequence[str], digits: int | None = None) -> DataFrame:
+    """(feature, missing rates, distinct counts, psi, auc, ks, iv, edges), a row a feature."""
+    counts = materialise(value_counts(wide, features, digits), "value-counts")
+    totals = materialise(_totals(counts), "value-totals")
+    cum = prefix_sums(
+        counts.filter("value IS NOT NULL").select("f", "value", "dev_rows", "dev_labelled", "dev_bad"), [F.col("value")],
+        {"c_dev": F.col("dev_rows"), "c_labelled": F.col("dev_labelled"), "c_bad": F.col("dev_bad")}, ["f"],
+    )
+    ranked = cum.join(F.broadcast(totals), "f")
+    edges = materialise(_edges(ranked), "value-edges")
+    names = counts.sparkSession.createDataFrame(list(enumerate(features)), "f int, feature string")
+    out = names.join(totals, "f", "left").join(_auc_ks(ranked), "f", "left").join(_iv_psi(counts, edges), "f", "left").join(edges, "f", "left")
+    return out.select(
+        "feature", "development_missing_rate", "validation_missing_rate", "development_nunique", "validation_nunique",
+        "psi_development_validation", "auc", "ks", "iv", "edges",
+    )
+
+
+def screen(wide: DataFrame, features: Sequence[str], manifest: DataFrame, digits: int | None = None) -> DataFrame:
     """Full screening report per candidate feature (M7)."""
-    split = F.col("screening_split")
-    both = long.filter(split.isin(DEV, VAL))
-    dev = long.filter(split == DEV)
-    basic = basic_stats(both)
-    ak = auc_ks(value_table(dev, label))
-    edges = decide_edges(dev, basic, key)
-    b = bucketed(both, edges)
-    iv = information_value(b.filter(split == DEV), label)
-    ps = psi(b)
-    rep = (
-        basic.join(ps, "feature", "left")
-        .join(ak, "feature", "left")
-        .join(iv, "feature", "left")
-        .join(F.broadcast(manifest), F.col("feature") == F.col("candidate_feature"), "left")
-        .drop("candidate_feature")
-        .withColumnRenamed("feature", "candidate_feature")
-    )
-    return add_flags(rep)
-
-
-def decide_edges(dev: DataFrame, basic: DataFrame, key: str) -> DataFrame:
-    binnable = basic.filter(F.col("development_nunique") >= 2).select("feature")
-    return decile_edges(dev.filter(F.col("value").isNotNull()).join(F.broadcast(binnable), "feature"), key)
+    named = statistics(wide, features, digits).drop("edges").withColumnRenamed("feature", "candidate_feature")
+    return add_flags(named.join(manifest, "candidate_feature", "left"))
 
 
 def _c(cond: Column) -> Column:

@@ -101,43 +101,28 @@ def q_one_hot_levels(spark, sf_dir):
     return long.filter(F.col("feature").startswith("catoh__")).select("SK_ID_CURR", "feature", "value")
 
 
+def _one(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    return screening_report(spark, sf_dir).select("candidate_feature", column)
+
+
 @register("feature_auc", lambda: stat_oracle(["auc"]))
 def q_feature_auc(spark, sf_dir):
-    long, _ = candidate_long(spark, sf_dir)
-    dev = long.filter(F.col("screening_split") == SC.DEV)
-    return SC.auc_ks(SC.value_table(dev)).select(F.col("feature").alias("candidate_feature"), "auc")
+    return _one(spark, sf_dir, "auc")
 
 
 @register("feature_ks", lambda: stat_oracle(["ks"]))
 def q_feature_ks(spark, sf_dir):
-    long, _ = candidate_long(spark, sf_dir)
-    dev = long.filter(F.col("screening_split") == SC.DEV)
-    return SC.auc_ks(SC.value_table(dev)).select(F.col("feature").alias("candidate_feature"), "ks")
-
-
-def _bucketed(long: DataFrame) -> DataFrame:
-    both = long.filter(F.col("screening_split").isin(SC.DEV, SC.VAL))
-    dev = both.filter(F.col("screening_split") == SC.DEV)
-    basic = SC.basic_stats(both)
-    return SC.bucketed(both, SC.decide_edges(dev, basic, "SK_ID_CURR")), basic
+    return _one(spark, sf_dir, "ks")
 
 
 @register("feature_iv", lambda: stat_oracle(["iv"]))
 def q_feature_iv(spark, sf_dir):
-    long, _ = candidate_long(spark, sf_dir)
-    b, basic = _bucketed(long)
-    iv = SC.information_value(b.filter(F.col("screening_split") == SC.DEV))
-    return basic.select("feature").join(iv, "feature", "left").select(F.col("feature").alias("candidate_feature"), "iv")
+    return _one(spark, sf_dir, "iv")
 
 
 @register("feature_psi", lambda: stat_oracle(["psi_development_validation"]))
 def q_feature_psi(spark, sf_dir):
-    long, _ = candidate_long(spark, sf_dir)
-    b, basic = _bucketed(long)
-    ps = SC.psi(b)
-    return basic.select("feature").join(ps, "feature", "left").select(
-        F.col("feature").alias("candidate_feature"), "psi_development_validation"
-    )
+    return _one(spark, sf_dir, "psi_development_validation")
 
 
 REPORT_COLS = [
@@ -149,8 +134,8 @@ REPORT_COLS = [
 
 def screening_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
-        long, manifest = candidate_long(spark, sf_dir)
-        return materialise(SC.screen(long, manifest).select(*REPORT_COLS), "q_screen")
+        wide, names, manifest = candidate_wide(spark, sf_dir)
+        return materialise(SC.screen(wide, names, manifest, VALUE_DIGITS).select(*REPORT_COLS), "q_screen")
 
     return memo("screening_report", spark, sf_dir, build)
 

@@ -9,7 +9,7 @@ from riskfold.operators.encode import encode_categoricals
 from riskfold.operators.evaluate import score_psi
 from riskfold.operators.grids import cost_curve
 from riskfold.operators.scorecard import add_grades, add_points, assign_strategy, grade_edges, score_band_metrics, strategy_cutoffs, strategy_metrics
-from riskfold.operators.screen import bucketed, decide_edges, basic_stats, information_value, to_long
+from riskfold.operators.screen import statistics
 
 
 def _scored(spark, n=2000, seed=3):
@@ -60,10 +60,7 @@ def test_iv_non_negative(spark):
     y = (rng.random(n) < 0.2).astype(int)
     pdf = pd.DataFrame({"SK_ID_CURR": np.arange(n), "screening_split": "development", "TARGET": y,
                         "a": rng.normal(size=n) + y, "b": np.where(rng.random(n) < 0.3, np.nan, rng.normal(size=n))})
-    long = to_long(spark.createDataFrame(pdf).withColumn("b", F.when(~F.isnan("b"), F.col("b"))), ["a", "b"],
-                   ["SK_ID_CURR", "screening_split", "TARGET"])
-    basic = basic_stats(long)
-    iv = information_value(bucketed(long, decide_edges(long, basic, "SK_ID_CURR"))).collect()
+    iv = statistics(spark.createDataFrame(pdf), ["a", "b"]).collect()
     assert all(r["iv"] >= 0 for r in iv) and len(iv) == 2
 
 
