@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskfold.functions.core import bucket_right, pd_to_points
-from riskfold.operators.rank import exact_quantiles, prefix_sums
+from riskfold.operators.rank import exact_quantiles
 
 DECLINE_PCT = 0.10
 MANUAL_REVIEW_PCT = 0.10
@@ -129,9 +129,9 @@ def bucket_cumulative(scored_b: DataFrame, split: str, values: dict, n_cuts: int
     # Densify k = 0..n (bounded by the number of cutoffs) so every grid point finds its row.
     dense_keys = cells.select(split).distinct().select(split, F.explode(F.sequence(F.lit(0), F.lit(n_cuts))).alias("cut_bucket"))
     dense = dense_keys.join(cells, [split, "cut_bucket"], "left").fillna(0)
-    # Suffix sums: order by bucket descending.
-    cum = prefix_sums(dense, [F.col("cut_bucket").desc()], {f"ge_{k}": F.col(f"_c_{k}") for k in values}, [split])
-    return cum.select(split, "cut_bucket", *[f"ge_{k}" for k in values])
+    # Suffix sums over at most n_cuts + 2 rows a split.
+    above = Window.partitionBy(split).orderBy(F.col("cut_bucket").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    return dense.select(split, "cut_bucket", *[F.sum(f"_c_{k}").over(above).alias(f"ge_{k}") for k in values])
 
 
 def strategy_scenarios(scored: DataFrame, split: str = "screening_split", label: str = "TARGET", pd_col: str = "pd",

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from riskfold.functions.core import SNAP_DIGITS, round_significant_once
 
 SIG = 10  # significant digits kept in final reports
-JVM_COLUMNS = 90  # double columns rounded by projections
+PLAIN_COLUMNS, JVM_COLUMNS = 12, 90  # double columns rounded by projections, and by one expression over their array
 
 
 def round_sig_np(x: np.ndarray, digits: int) -> np.ndarray:
@@ -38,14 +38,22 @@ def round_doubles(df: DataFrame, digits: int = SIG) -> DataFrame:
 
     Only the *final* report is rounded so that engines summing in different
     orders hash equal; intermediates are never rounded.  The two stages
-    (snap to 14 digits, then round) are two projections; for reports of over
-    ``JVM_COLUMNS`` doubles they run as one Arrow-batched pass instead, since
-    hundreds of such expressions exceed the JVM's generated-method limit.
+    (snap to 14 digits, then round) are two projections.  Many such expressions
+    exceed the JVM's generated-method limit: over ``PLAIN_COLUMNS`` doubles they
+    are one expression over the array of all of them, over ``JVM_COLUMNS`` one
+    Arrow-batched pass.
     """
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     if not cols:
         return df
     df = df.withColumns({c: F.col(f"`{c}`").cast("double") for c in cols})
+    if PLAIN_COLUMNS < len(cols) <= JVM_COLUMNS:
+        whole = F.array(*[F.col(f"`{c}`") for c in cols])
+        snapped = F.transform(whole, lambda x: round_significant_once(x, SNAP_DIGITS))
+        whole = F.transform(snapped, lambda x: round_significant_once(x, digits))
+        at = {c: i for i, c in enumerate(cols)}
+        rounded = df.withColumn("_rounded", whole)
+        return rounded.select(*[F.get("_rounded", F.lit(at[c])).alias(c) if c in at else F.col(f"`{c}`") for c in df.columns])
     if len(cols) <= JVM_COLUMNS:
         df = df.withColumns({c: round_significant_once(F.col(f"`{c}`"), SNAP_DIGITS) for c in cols})
         return df.withColumns({c: round_significant_once(F.col(f"`{c}`"), digits) for c in cols})
