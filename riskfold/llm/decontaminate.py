@@ -9,7 +9,8 @@
    of neighbouring words of the item are intact, on diagonals at most
    2m * (1 - threshold) apart.
 3. Counts.  How often each word pair of the test items occurs in the whole
-   corpus; a batch's counts are summed before the shuffle.
+   corpus; a task's counts are summed before the shuffle.  The same pass writes
+   down, as word numbers, the texts that hold enough pairs of an item at all.
 4. Seeds.  Of an item's pairs the most frequent ones are left out, half as many
    as must be intact; the rest are its rare seeds.  Whatever pairs an edited copy
    has lost, the other half of those it must keep are seeds.
@@ -119,24 +120,52 @@ def smith_waterman(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
     return best / (2 * len(item)), end
 
 
-def _ngram_counts(docs: DataFrame, items: Items, text_col: str) -> dict[int, int]:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+FIRST_LOOK = T.StructType(
+    [T.StructField("gram", T.LongType()), T.StructField("n", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("text_key", T.LongType()), T.StructField("words", T.BinaryType())]
+)
+
+
+def _first_look(rows: DataFrame, items: Items) -> DataFrame:
+    """What one pass over the texts (doc_id, text_key, text) gives, written down.
+
+    Rows (gram, n): a batch's counts of the items' pairs.  Rows (doc_id, text_key, words): the texts that hold as many
+    different pairs of an item as an intact copy must, anywhere and whatever their order, as word numbers.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(items)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unique(shared.value.gram)
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        known, entry = np.unique(held.gram, return_inverse=True)
+        by_gram = np.argsort(entry, kind="stable")
+        first = np.searchsorted(entry[by_gram], np.arange(len(known) + 1))
+        intact = held.spared + held.needed
         seen = np.zeros(len(known), np.int64)
         for b in batches:
-            for t in b.column(0):
-                g = shared.value.grams(shared.value.numbers(t.as_py()))
+            doc_id, text_key, words = [], [], []
+            for i, t in enumerate(b.column(2)):
+                numbers = held.numbers(t.as_py())
+                g = held.grams(numbers)
                 g = g[g >= 0]
-                if len(g) and len(known):
-                    at = np.minimum(np.searchsorted(known, g), len(known) - 1)
-                    np.add.at(seen, at[known[at] == g], 1)
+                if not len(g) or not len(known):
+                    continue
+                at = np.minimum(np.searchsorted(known, g), len(known) - 1)
+                met, n = np.unique(at[known[at] == g], return_counts=True)
+                seen[met] += n
+                size = first[met + 1] - first[met]
+                places = by_gram[np.repeat(first[met] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+                if (np.bincount(held.item[places], minlength=len(held.ids)) >= intact).any():
+                    doc_id.append(b.column(0)[i].as_py())
+                    text_key.append(b.column(1)[i].as_py())
+                    words.append(numbers.astype(np.int32).tobytes())
+            none = pa.nulls(len(words), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [none, none, pa.array(doc_id, pa.int64()), pa.array(text_key, pa.int64()), pa.array(words, pa.binary())], names=FIRST_LOOK.names
+            )
         found = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(known[found]), pa.array(seen[found])], names=["gram", "n"])
+        none = pa.nulls(len(found), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(known[found]), pa.array(seen[found]), none, none, pa.nulls(len(found), pa.binary())], names=FIRST_LOOK.names)
 
-    counted = docs.select(text_of(text_col).alias("text")).mapInArrow(rows, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {int(g): int(n) for g, n in counted.toPandas().itertuples(index=False)}  # at most the items' own n-grams
+    return saved(rows.mapInArrow(look, FIRST_LOOK), "benchmark-look")
 
 
 def matches_in(words: np.ndarray, items: Items, order: np.ndarray, threshold: float) -> list[tuple[int, float, int, int]]:
@@ -206,14 +235,16 @@ def find_matches(
     for part in range(parts):
         own = listed if parts == 1 else listed.filter(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == part)
         items = Items(sorted(((r.i, r.t) for r in own.toLocalIterator()), key=str), threshold)
-        keep = items.seeds(_ngram_counts(docs, items, text_col))
+        look = _first_look(rows, items)
+        counts = look.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()  # at most the items' own pairs
+        keep = items.seeds(dict(zip(counts["gram"].tolist(), counts["n"].tolist(), strict=True)))
         order = np.flatnonzero(keep)[np.argsort(items.gram[keep], kind="stable")]
         shared = spark.sparkContext.broadcast((items, order))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             held, seeds = shared.value
             for b in batches:
-                hits = [(k, *m) for k, t in enumerate(b.column(2)) for m in matches_in(held.numbers(t.as_py()), held, seeds, threshold)]
+                hits = [(k, *m) for k, w in enumerate(b.column(2)) for m in matches_in(np.frombuffer(w.as_buffer(), np.int32).astype(np.int64), held, seeds, threshold)]
                 row = pa.array([h[0] for h in hits], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -227,7 +258,7 @@ def find_matches(
                     names=MATCHES.names,
                 )
 
-        step = rows.mapInArrow(search, MATCHES)
+        step = look.filter("words IS NOT NULL").select("doc_id", "text_key", "words").mapInArrow(search, MATCHES)
         found = step if found is None else found.unionByName(step)
     return found if found is not None else spark.createDataFrame([], MATCHES)
 
