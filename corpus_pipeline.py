@@ -3,11 +3,12 @@
 ``STAGES`` run in order; each takes what its predecessor kept, and all but the
 last return the columns of ``documents``:
 
-* quality_classifier - documents scored below 0.7 go;
+* quality_classifier - documents scored below 0.7 go (none, if no label can be used);
 * line_dedup - line runs of 20 words or more that occurred before are cut from
   the texts (``n_chars`` follows); documents left without any text go;
 * simhash_near_dedup - of each group of linked documents the one with the
-  least id stays (4-word shingles, at most 4 bits);
+  least id stays (4-word shingles, at most 4 bits); rows that repeat both id and
+  text are one document;
 * benchmark_decontamination - documents that hold a benchmark item, exact or
   edited, go;
 * best_fit_packing - the rest as token pieces placed in sequences of 2048.
@@ -33,8 +34,13 @@ def _named(column: str) -> Column:
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn from the labels outside the held-out fold; keep what scores 0.7 or more."""
+    """Learn from the labels outside the held-out fold; keep what scores 0.7 or more.
+
+    Without a usable label nothing is known of any document, and all stay.
+    """
     weights = quality.train(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
+    if not weights.any():
+        return docs
     scored = quality.score(docs, weights, threshold=0.7, score_col="_quality_score", predicted_col="_quality_predicted")
     return scored.filter("_quality_predicted = 1").select(*docs.columns)
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskfold.functions.core import bucket_right, round_significant
-from riskfold.operators.rank import prefix_sums
+from riskfold.operators.rank import prefix_sums, sketch_quantiles
 from riskfold.session import materialise
 
 # Fixed screening thresholds.
@@ -151,6 +151,20 @@ def _iv_psi(counts: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+def sketched_edges(wide: DataFrame, features: Sequence[str], k: int = 800, bins: int = BINS) -> DataFrame:
+    """f, edges: like the exact ones, from a sketch of each feature's development values (see ``sketch_quantiles``).
+
+    A cut point is a value whose rank is within the sketch's error of its decile; cached by the caller, the edges
+    serve every later count.
+    """
+    cells = wide.filter(F.col("screening_split") == DEV).select(F.posexplode(F.array(*[F.col(f"`{f}`").cast("double") for f in features])).alias("f", "value"))
+    finite = cells.filter(F.abs("value") != F.lit(float("inf")))
+    q = sketch_quantiles(finite, "value", [i / bins for i in range(bins + 1)], ["f"], k)
+    cuts = q.groupBy("f").agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("prob_idx", "value"))), lambda s: s["value"])).alias("_q"))
+    inner = F.slice(F.col("_q"), 2, F.greatest(F.size("_q") - 2, F.lit(0)))
+    return cuts.filter(F.size("_q") >= 2).select("f", F.concat(F.array(F.lit(float("-inf"))), inner, F.array(F.lit(float("inf")))).alias("edges"))
+
+
 def statistics(wide: DataFrame, features: Sequence[str], digits: int | None = None) -> DataFrame:
     """(feature, missing rates, distinct counts, psi, auc, ks, iv, edges), a row a feature."""
     counts = materialise(value_counts(wide, features, digits), "value-counts")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +53,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession, always: bool = False) -> None:
+    """Send this package to the workers, once a session, where their Python would not find it.
+
+    Workers find it by themselves if its folder is on PYTHONPATH, or is the working folder of a local session;
+    ``always`` sends it in any case.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    sc = spark.sparkContext
+    listed = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if not always and (root in listed or (sc.master.startswith("local") and os.getcwd() == root)):
+        return
+    if getattr(sc, "_riskfold_shipped", False):
+        return
+    name = os.path.join(tempfile.mkdtemp(prefix="riskfold-package-"), "riskfold_package.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for folder, _, files in os.walk(os.path.dirname(os.path.abspath(__file__))):
+            for f in files:
+                if f.endswith(".py"):
+                    z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), root))
+    sc.addPyFile(name)
+    sc._riskfold_shipped = True
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet below the checkpoint folder and read it back.
 

@@ -40,3 +40,36 @@ def test_exact_quantiles_match_numpy(spark):
         exp = np.quantile(part["v"].to_numpy(), probs)
         q = got[got["g"] == g].sort_values("prob_idx")["value"].to_numpy()
         assert np.allclose(q, exp)
+
+
+def test_sketch_quantiles_within_the_stated_error(spark):
+    from riskfold.operators.rank import SKETCH_ERROR, sketch_quantiles
+
+    rng = np.random.default_rng(4)
+    n = 40_000
+    x = np.where(rng.random(n) < 0.4, 7.0, rng.normal(size=n) * 10)  # one value holds two rows in five
+    g = np.where(rng.random(n) < 0.9, "hot", "cold")
+    df = spark.createDataFrame(pd.DataFrame({"g": g, "x": x})).repartition(16).unionByName(spark.createDataFrame([("none", None)], "g string, x double"))
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    for k in (200, 800):
+        rows = sketch_quantiles(df, "x", probs, ["g"], k).collect()
+        assert sorted({r["g"] for r in rows}) == ["cold", "hot"] and len(rows) == 12
+        for r in rows:
+            own = np.sort(x[g == r["g"]])
+            low, high = np.searchsorted(own, r["value"], "left") / len(own), np.searchsorted(own, r["value"], "right") / len(own)
+            assert low - SKETCH_ERROR[k] <= r["prob"] <= high + SKETCH_ERROR[k], (k, r)
+        ends = {(r["g"], r["prob"]): r["value"] for r in rows}
+        assert ends["hot", 0.0] == x[g == "hot"].min() and ends["cold", 1.0] == x[g == "cold"].max()
+
+
+def test_sketched_edges_are_near_the_exact_ones(spark):
+    from riskfold.operators.rank import SKETCH_ERROR
+    from riskfold.operators.screen import sketched_edges
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=20_000)
+    df = spark.createDataFrame(pd.DataFrame({"screening_split": "development", "x": x, "flag": (rng.random(20_000) < 0.05).astype(float), "one": 1.0})).repartition(4)
+    rows = {r["f"]: r["edges"] for r in sketched_edges(df, ["x", "flag", "one"]).collect()}
+    assert rows[1] == [float("-inf"), float("inf")] and 2 not in rows and len(rows[0]) == 11
+    ranks = np.searchsorted(np.sort(x), rows[0][1:-1]) / len(x)
+    assert np.abs(ranks - np.arange(1, 10) / 10).max() <= SKETCH_ERROR[800]
