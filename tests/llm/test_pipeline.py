@@ -74,3 +74,27 @@ def test_near_dedup_keeps_distinct_texts_with_null_or_equal_ids(spark):
     rows += [(None, texts[0].title(), "en", "s", 5, "x", "y", None), rows[4], (10, texts[6].upper(), "en", "s", 5, "x", "y", None)]
     got = C.dedup_near_copies(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
     assert sorted((str(r.doc_id), r.text.lower()) for r in got) == sorted((str(i), t) for i, t in zip(ids, texts, strict=True))
+
+
+def test_without_a_usable_label_all_documents_stay(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b c", "en", "s", 5), (2, None, "en", "s", None)], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(9, 1), (1, None)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert C.quality_classifier(spark, docs, str(tmp_path)).count() == 2
+
+
+def test_stages_on_a_very_long_text(spark, corpus):
+    """One text of half a million words among the others goes through every stage whole."""
+    from riskfold.llm.common import saved
+
+    path, texts, _, _ = corpus
+    rng = random.Random(99)
+    long = "\n".join(_words(rng, 50) + "." for _ in range(10_000))
+    base = spark.read.parquet(f"{path}/documents.parquet")
+    docs = base.filter("doc_id < 40").unionByName(spark.createDataFrame([(900, long, "en", "s", len(long), None, None, None)], SCHEMA))
+    labels = [C.dedup_lines, C.dedup_near_copies, C.decontaminate_benchmark]
+    for stage in labels:
+        docs = saved(stage(spark, docs, path), stage.__name__)
+        assert docs.filter("doc_id = 900").first().text == long
+    pieces = C.pack(spark, docs.filter("doc_id = 900"), path).collect()
+    assert len({p.sequence_id for p in pieces}) == len([p for p in pieces if p.offset == 0])
+    assert sum(p.length for p in pieces) >= 500_000
