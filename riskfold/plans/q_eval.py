@@ -39,6 +39,13 @@ def scored_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     return memo("scored_population", spark, sf_dir, build)
 
 
+def ranked_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled population with its ranks, sorted once for all rank metrics."""
+    from riskfold.plans.q_screen import memo
+
+    return memo("ranked_population", spark, sf_dir, lambda: materialise(EV.ranked_rows(scored_population(spark, sf_dir), score="pd"), "ranked-population"))
+
+
 @register("scorecard_points", lambda: duck_round(
     f"WITH {scored_sql()} SELECT {KEY}, {SPLIT}, pd, a_card_score, score_grade, strategy_action FROM scored", ["pd", "a_card_score"]))
 def q_scorecard_points(spark, sf_dir):
@@ -68,22 +75,22 @@ def q_score_distribution(spark, sf_dir):
 @register("split_metrics", lambda: split_metrics_oracle())
 def q_split_metrics(spark, sf_dir):
     pop = scored_population(spark, sf_dir)
-    return EV.split_metrics(pop, score="pd", extra_means=["a_card_score"])
+    return EV.split_metrics(pop, score="pd", extra_means=["a_card_score"], ranked=ranked_population(spark, sf_dir))
 
 
 @register("lift_table", lambda: lift_oracle())
 def q_lift_table(spark, sf_dir):
-    return EV.lift_table(scored_population(spark, sf_dir), score="pd")
+    return EV.lift_table(scored_population(spark, sf_dir), score="pd", ranked=ranked_population(spark, sf_dir))
 
 
 @register("topk_precision_recall", lambda: topk_oracle())
 def q_topk(spark, sf_dir):
-    return EV.topk_table(scored_population(spark, sf_dir), score="pd")
+    return EV.topk_table(scored_population(spark, sf_dir), score="pd", ranked=ranked_population(spark, sf_dir))
 
 
 @register("average_precision", lambda: ap_oracle())
 def q_average_precision(spark, sf_dir):
-    return EV.average_precision(scored_population(spark, sf_dir), score="pd")
+    return EV.average_precision(scored_population(spark, sf_dir), score="pd", ranked=ranked_population(spark, sf_dir))
 
 
 @register("score_psi", lambda: psi_oracle())
