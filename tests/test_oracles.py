@@ -2,23 +2,21 @@
 
 import pytest
 
-from riskfold.plans.catalog import QUERIES, oracles
+from riskfold.plans.catalog import ORACLES, QUERIES, oracles
 from riskfold.plans.checker import compare, duck_connect
 
 SF = "/root/testdata/sf0.001"
-FAST = [
-    "block_accounts", "block_monthly_status", "block_previous", "block_installments", "block_card", "block_pos",
-    "application_base", "sentinel_profile", "raw_table_profile", "split_metrics", "lift_table", "strategy_scenarios",
-    "threshold_curve", "cost_curve",
-]
-
-
 @pytest.fixture(scope="module")
 def con():
     return duck_connect(SF)
 
 
-@pytest.mark.parametrize("name", FAST)
-def test_query_matches_oracle(spark, con, name):
-    r = compare(QUERIES[name](spark, SF), oracles()[name], con)
+@pytest.fixture(scope="module")
+def sql():
+    return oracles()
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_matches_oracle(spark, con, sql, name):
+    r = compare(QUERIES[name](spark, SF), sql[name], con)
     assert r["cols_match"] and r["rows"][0] == r["rows"][1] and r["hash_match"], r
