@@ -7,8 +7,8 @@ list of its rows sorted by value.  A query walks all lists together, from the
 top where its weight is positive and from the bottom where it is negative, and
 scores every row it meets in full.  No unseen row can score above the
 *threshold*, the query's score for the values last read; when the k-th best
-score so far is greater, the block is done (an equal one goes on, since ties go
-to smaller ids).  The lists are walked in stages of growing depth, so the
+score so far is greater, or no row is unseen, the block is done (an equal one
+goes on, since ties go to smaller ids).  The lists are walked in stages of growing depth, so the
 bookkeeping is a few array operations a stage.  Each block's best k rows go on
 to the query's final ranking, which keeps k of them.
 
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from riskfold.llm.common import saved
 
-#: Depths at which a walk stops to compare its threshold; the last stage reads the rest.
-FIRST_DEPTH, DEEPER = 16, 4
+#: Depths at which a walk stops to compare its threshold; it goes on until that ends it or all rows are met.
+FIRST_DEPTH, DEEPER = 16, 2
 
 
 def quantised(df: DataFrame, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -66,8 +66,6 @@ class Block:
         depth, read = 0, FIRST_DEPTH
         while True:
             read = min(read, n)
-            if read * (len(up) + len(down)) * 2 >= n:  # the lists now reach most rows: read to the end
-                read = n
             met = np.zeros(n, bool)
             if read == n or not len(up) + len(down):
                 met[:] = True
@@ -83,7 +81,7 @@ class Block:
                 best_at, best = best_at[best >= cut], best[best >= cut]
             order = np.lexsort((best_at, -best))[:k]  # rows are in id order
             best_at, best = best_at[order], best[order]
-            if read == n:
+            if not unseen.any():  # every row has been met somewhere
                 break
             limit = int(query[up] @ self.values[n - read, up] + query[down] @ self.values[read - 1, down])
             if len(best) == k and best[-1] > limit:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,3 +55,18 @@ def test_few_and_none(spark):
     assert _run(spark, [(0, [1.0], None), (1, [2.0], None)], 5) == [(0, 1, 1, 64 * 128)]
     assert _run(spark, [], 5) == []
     assert _run(spark, [(2, [], None), (4, [], None)], 5) == [(2, 1, 4, 0), (4, 1, 2, 0)]
+
+
+def test_the_bound_ends_the_walk_where_few_dimensions_decide(monkeypatch):
+    """Vectors whose components decay: the walk stops by its threshold, and the result is the brute force's."""
+    rng = np.random.default_rng(5)
+    rows = (rng.normal(size=(1500, 32)) * 64 * np.exp(-np.arange(32) / 3)).astype(np.int64)
+    block, scored, plain = K.Block(np.arange(1500), rows), [], K.Block.scores
+    monkeypatch.setattr(K.Block, "scores", lambda self, at, q: scored.append(len(at)) or plain(self, at, q))
+    for i in range(0, 1500, 100):
+        scored.clear()
+        ids, best = block.top(rows[i], i, 20)
+        assert sum(scored) < 1499
+        products = rows @ rows[i]
+        want = sorted((j for j in range(1500) if j != i), key=lambda j: (-products[j], j))[:20]
+        assert ids.tolist() == want and best.tolist() == [products[j] for j in want]
