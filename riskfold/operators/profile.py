@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskfold.session import materialise
+
 EXAMPLES = 3
 
 
@@ -78,25 +80,28 @@ def _long(df: DataFrame, table: str) -> DataFrame:
 def column_profile(tables: Mapping[str, DataFrame], approx_distinct: bool = False, rsd: float = 0.01) -> DataFrame:
     """table, column, dtype, missing_pct, nunique, example_values (3 smallest distinct).
 
-    ``approx_distinct=True`` swaps the exact distinct count for HyperLogLog++
-    (``approx_count_distinct``, relative error ``rsd``): one fixed-size sketch
-    per column instead of a shuffle of every distinct value.
+    ``approx_distinct=True`` takes the distinct count from HyperLogLog++
+    (``approx_count_distinct``, relative error ``rsd``).
     """
     longs = [_long(df, name) for name, df in tables.items()]
     long = longs[0]
     for p in longs[1:]:
         long = long.unionByName(p)
     keys = ["table", "column", "dtype"]
-    stats = long.groupBy(*keys).agg(
-        F.avg(F.col("value_str").isNull().cast("double")).alias("missing_pct"),
-        (F.approx_count_distinct("value_str", rsd) if approx_distinct else F.count_distinct("value_str")).alias("nunique"),
+    # one pass over the cells: how often each value stands in its column (a hot value is summed before the shuffle);
+    # missing share, distinct count and examples are read off these counts
+    counts = materialise(
+        long.groupBy(*keys, "value_str").agg(F.count(F.lit(1)).alias("n"), F.min("value_num").alias("value_num"), F.min("value_show").alias("value_show")),
+        "column-values",
     )
-    # Distinct values first (partial aggregation absorbs hot values), then a
-    # per-column top-3: Spark plans the rank filter as a partial window group
+    missing = F.sum(F.when(F.col("value_str").isNull(), F.col("n")).otherwise(0)) / F.sum("n")
+    stats = counts.groupBy(*keys).agg(missing.alias("missing_pct"), F.count("value_str").alias("nunique"))
+    if approx_distinct:
+        sketched = long.groupBy(*keys).agg(F.approx_count_distinct("value_str", rsd).alias("nunique"))
+        stats = stats.drop("nunique").join(sketched, keys)
+    # A per-column top-3: Spark plans the rank filter as a partial window group
     # limit before the shuffle, so no column is collected whole.
-    distinct_vals = long.filter(F.col("value_str").isNotNull()).groupBy(*keys, "value_str").agg(
-        F.min("value_num").alias("value_num"), F.min("value_show").alias("value_show")
-    )
+    distinct_vals = counts.filter(F.col("value_str").isNotNull())
     w = Window.partitionBy(*keys).orderBy(F.col("value_num").asc_nulls_last(), F.col("value_str"))
     top = distinct_vals.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= EXAMPLES)
     ex = top.groupBy(*keys).agg(
@@ -192,5 +197,12 @@ def column_dictionary(profile: DataFrame, descriptions: DataFrame | None = None)
     )
 
 
+def schema_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table, column, missing_pct, nunique) from the tables' schemas alone, the figures NULL: no data are read."""
+    spark = next(iter(tables.values())).sparkSession
+    names = [(t, c, None, None) for t, df in tables.items() for c in df.columns]
+    return spark.createDataFrame(names, "table string, column string, missing_pct double, nunique bigint")
+
+
 def leakage_summary(dictionary: DataFrame) -> DataFrame:
     return dictionary.groupBy("data_domain", "leakage_risk_initial").agg(F.count(F.lit(1)).alias("columns"))

@@ -437,7 +437,7 @@ def q_raw_file_sizes(spark, sf_dir):
 @register("leakage_risk_summary", lambda: leakage_oracle())
 def q_leakage_summary(spark, sf_dir):
     """A3: columns per (data domain, initial leakage risk) over the observed dictionary."""
-    return PR.leakage_summary(PR.column_dictionary(PR.column_profile(role_tables(spark, sf_dir))))
+    return PR.leakage_summary(PR.column_dictionary(PR.schema_rows(role_tables(spark, sf_dir))))
 
 
 def leakage_oracle() -> str:
