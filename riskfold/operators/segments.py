@@ -7,6 +7,8 @@ Row-level scores are ``greatest`` over 0/1/2 level scores; the summary is one
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,6 +72,19 @@ def add_proxies(df: DataFrame) -> DataFrame:
     )
 
 
+def with_capacity(scored: DataFrame, features: DataFrame, key: str = "SK_ID_CURR", also: Sequence[str] = ()) -> DataFrame:
+    """Scored rows with their applicant's capacity features, dimensions and proxies (and the columns ``also``).
+
+    ``features`` has a row an applicant; its other columns are not read.  A scored row without features stays: no
+    dimension is flagged for it (its level is low) and its features are NULL.  Columns that ``scored`` has already
+    are taken from there.
+    """
+    taken = set(scored.columns)
+    wanted = [c for c in dict.fromkeys([*CAPACITY_COLUMNS, *also]) if c not in taken]
+    joined = scored.join(features.select(key, *wanted), key, "left")
+    return add_proxies(add_capacity_dimensions(joined))
+
+
 def segment_summary(df: DataFrame) -> DataFrame:
     """Per strategy action (fixed order), means that skip NULLs and two dimension shares."""
     order = F.create_map(*[x for i, a in enumerate(ACTION_ORDER) for x in (F.lit(a), F.lit(i + 1))])

@@ -16,8 +16,10 @@ from riskfold.operators import evaluate as EV
 from riskfold.operators import explain as X
 from riskfold.operators import models as M
 from riskfold.operators import scorecard as K
+from riskfold.operators import segments as G
 from riskfold.operators.trees import add_margin
 from riskfold.plans import q_models as QM
+from riskfold.plans import q_store as QS
 from riskfold.plans.q_screen import candidate_wide, memo
 from riskfold.plans.registry import register
 from riskfold.session import ensure_checkpoint_dir, materialise
@@ -121,3 +123,28 @@ def q_reason_summary(spark, sf_dir):
 @register("model_reason_sample")
 def q_reason_sample(spark, sf_dir):
     return X.reason_sample(reasons(spark, sf_dir))
+
+
+def holdout_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The holdout's decisions with the applicants' repayment capacity."""
+    holdout = scored(spark, sf_dir).filter(F.col(SPLIT) == "final_holdout")
+    return G.with_capacity(holdout, QS.feature_store(spark, sf_dir), KEY, also=CASE_AMOUNTS)
+
+
+CASE_AMOUNTS = ["AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY"]
+
+
+@register("model_capacity_segments")
+def q_capacity(spark, sf_dir):
+    """G1-G3 on the fitted model's decisions."""
+    return G.segment_summary(holdout_capacity(spark, sf_dir))
+
+
+@register("model_case_picks")
+def q_cases(spark, sf_dir):
+    """One applicant a decision, with the dimensions and the strongest reasons behind it."""
+    cases = G.case_picks(holdout_capacity(spark, sf_dir)).withColumn("risk_dimensions", G.dimension_text())
+    first = reasons(spark, sf_dir).filter("reason_rank = 1").select(KEY, F.col("reason_label").alias("main_reason"), F.col("candidate_feature").alias("main_feature"))
+    return cases.join(first, KEY, "left").select(
+        "case_type", KEY, "strategy_action", "pd", "a_card_score", LABEL, *CASE_AMOUNTS, "capacity_level", "risk_dimensions", "main_reason", "main_feature"
+    )
