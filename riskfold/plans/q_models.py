@@ -20,6 +20,9 @@ from riskfold.plans.sqlkit import duck_round, npq
 from riskfold.session import materialise
 
 
+#: The catalogue's bound on boosting rounds (the operator's own is 2,500): one fit, cut at its best round.
+GBT_CATALOGUE_ROUNDS = 400
+
 #: Strengths are compared after this many decimals: mirrored features (x and 1 - x) are equally strong in both engines.
 STRENGTH_DECIMALS = 9
 
@@ -199,7 +202,7 @@ def gbt(spark: SparkSession, sf_dir: str):
 
     def build():
         d, names = design(spark, sf_dir)
-        fit, scored = M.fit_gbt(d.drop("raw"))
+        fit, scored = M.fit_gbt(d.drop("raw"), max_rounds=GBT_CATALOGUE_ROUNDS)
         return fit, materialise(scored, "gbt-scored"), names
 
     return memo("gbt", spark, sf_dir, build)
@@ -265,7 +268,7 @@ def q_model_card(spark, sf_dir):
     a = M.model_card(spark, "logistic_l2", names, _metrics(ls), best_iteration=lf.best_step, shift=lf.shift, intercept=lf.intercept,
                      params={"l2": M.L2, "weights": "class_balanced", "learning_rate": L.LEARNING_RATE, "max_steps": L.MAX_STEPS, "patience": L.PATIENCE})
     b = M.model_card(spark, "gradient_boosted_trees", names, _metrics(gs), best_iteration=gf.best_round, shift=gf.shift, intercept=None,
-                     params={"stepSize": M.GBT_STEP, "maxDepth": 5, "minLeafRows": M.GBT_LEAF_ROWS, "maxRounds": M.GBT_ROUNDS, "patience": M.GBT_PATIENCE,
+                     params={"stepSize": M.GBT_STEP, "maxDepth": 5, "minLeafRows": M.GBT_LEAF_ROWS, "maxRounds": GBT_CATALOGUE_ROUNDS, "patience": M.GBT_PATIENCE,
                              "roundsFitted": gf.rounds_fitted})
     return a.unionByName(b)
 
