@@ -56,25 +56,20 @@ def table_profile(tables: Mapping[str, DataFrame], file_mb: Mapping[str, float]
     return out
 
 
-def _long(df: DataFrame, table: str) -> DataFrame:
-    """(table, column, dtype, value_str, value_num) for every cell."""
-    fields = df.schema.fields
+def _long(df: DataFrame, first: int) -> DataFrame:
+    """(c, value_str, value_num) for every cell; c is the column's number, from ``first`` on."""
     entries = []
-    for f in fields:
+    for i, f in enumerate(df.schema.fields):
         numeric = isinstance(f.dataType, T.NumericType)
-        c = F.col(f"`{f.name}`")
-        # Fractional values are shown in fixed point (no exponent form).
-        fractional = isinstance(f.dataType, (T.DoubleType, T.FloatType))
-        entries.append(
-            F.struct(
-                F.lit(f.name).alias("column"),
-                F.lit(f.dataType.simpleString()).alias("dtype"),
-                c.cast("string").alias("value_str"),
-                (c.cast("double") if numeric else F.lit(None).cast("double")).alias("value_num"),
-                (F.expr(f"try_cast(`{f.name}` AS DECIMAL(38,6))").cast("string") if fractional else c.cast("string")).alias("value_show"),
-            )
-        )
-    return df.select(F.explode(F.array(*entries)).alias("c")).select(F.lit(table).alias("table"), "c.*")
+        v = F.col(f"`{f.name}`")
+        num = v.cast("double") if numeric else F.lit(None).cast("double")
+        entries.append(F.struct(F.lit(first + i).alias("c"), v.cast("string").alias("value_str"), num.alias("value_num")))
+    return df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+
+
+def _value_counts(long: DataFrame) -> DataFrame:
+    """(c, value_str, n, value_num): how often each value stands in its column."""
+    return long.groupBy("c", "value_str").agg(F.count(F.lit(1)).alias("n"), F.min("value_num").alias("value_num"))
 
 
 def column_profile(tables: Mapping[str, DataFrame], approx_distinct: bool = False, rsd: float = 0.01) -> DataFrame:
@@ -83,33 +78,38 @@ def column_profile(tables: Mapping[str, DataFrame], approx_distinct: bool = Fals
     ``approx_distinct=True`` takes the distinct count from HyperLogLog++
     (``approx_count_distinct``, relative error ``rsd``).
     """
-    longs = [_long(df, name) for name, df in tables.items()]
-    long = longs[0]
-    for p in longs[1:]:
-        long = long.unionByName(p)
+    named: list[tuple[str, str, str, bool]] = []
+    long = None
+    for name, df in tables.items():
+        part = _long(df, len(named))
+        long = part if long is None else long.unionByName(part)
+        # Fractional values are shown in fixed point (no exponent form).
+        named += [(name, f.name, f.dataType.simpleString(), isinstance(f.dataType, (T.DoubleType, T.FloatType))) for f in df.schema.fields]
     keys = ["table", "column", "dtype"]
     # one pass over the cells: how often each value stands in its column (a hot value is summed before the shuffle);
-    # missing share, distinct count and examples are read off these counts
-    counts = materialise(
-        long.groupBy(*keys, "value_str").agg(F.count(F.lit(1)).alias("n"), F.min("value_num").alias("value_num"), F.min("value_show").alias("value_show")),
-        "column-values",
-    )
+    # missing share, distinct count and examples are read off these counts.  The key is a number and the value, and no
+    # string is aggregated: that would sort all cells.
+    counts = materialise(_value_counts(long), "column-values")
+    columns = F.broadcast(long.sparkSession.createDataFrame([(i, *n) for i, n in enumerate(named)], "c int, table string, column string, dtype string, fractional boolean"))
     missing = F.sum(F.when(F.col("value_str").isNull(), F.col("n")).otherwise(0)) / F.sum("n")
-    stats = counts.groupBy(*keys).agg(missing.alias("missing_pct"), F.count("value_str").alias("nunique"))
+    stats = counts.groupBy("c").agg(missing.alias("missing_pct"), F.count("value_str").alias("nunique"))
     if approx_distinct:
-        sketched = long.groupBy(*keys).agg(F.approx_count_distinct("value_str", rsd).alias("nunique"))
-        stats = stats.drop("nunique").join(sketched, keys)
+        sketched = long.groupBy("c").agg(F.approx_count_distinct("value_str", rsd).alias("nunique"))
+        stats = stats.drop("nunique").join(sketched, "c")
     # A per-column top-3: Spark plans the rank filter as a partial window group
     # limit before the shuffle, so no column is collected whole.
     distinct_vals = counts.filter(F.col("value_str").isNotNull())
-    w = Window.partitionBy(*keys).orderBy(F.col("value_num").asc_nulls_last(), F.col("value_str"))
-    top = distinct_vals.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= EXAMPLES)
-    ex = top.groupBy(*keys).agg(
+    w = Window.partitionBy("c").orderBy(F.col("value_num").asc_nulls_last(), F.col("value_str"))
+    top = distinct_vals.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= EXAMPLES).join(columns, "c")
+    shown = F.when(F.col("fractional"), F.expr("try_cast(value_num AS DECIMAL(38,6))").cast("string")).otherwise(F.col("value_str"))
+    top = top.withColumn("value_show", shown)
+    ex = top.groupBy("c").agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("rk", "value_show"))), lambda s: s["value_show"]), " | "
         ).alias("example_values")
     )
-    return stats.join(ex, keys, "left").withColumn("example_values", F.coalesce("example_values", F.lit("")))
+    out = stats.join(columns, "c").join(ex, "c", "left")
+    return out.select(*keys, "missing_pct", "nunique", F.coalesce("example_values", F.lit("")).alias("example_values"))
 
 
 # ---------------------------------------------------------------------------
