@@ -1,5 +1,7 @@
-from riskfold.operators.blocks import BUREAU, build_block
-from riskfold.operators.store import fill_no_history
+import random
+
+from riskfold.operators.blocks import BUREAU, BUREAU_BALANCE, CREDIT_CARD, MONTH_WINDOWS, build_block
+from riskfold.operators.store import fill_no_history, join_blocks
 
 COLS = (
     "SK_ID_CURR long, SK_ID_BUREAU long, CREDIT_ACTIVE string, DAYS_CREDIT int, CREDIT_DAY_OVERDUE int, "
@@ -7,6 +9,11 @@ COLS = (
     "AMT_CREDIT_SUM double, AMT_CREDIT_SUM_DEBT double, AMT_CREDIT_SUM_LIMIT double, AMT_CREDIT_SUM_OVERDUE double, "
     "CREDIT_TYPE string, DAYS_CREDIT_UPDATE int, AMT_ANNUITY double"
 )
+CARD = (
+    "SK_ID_CURR long, SK_ID_PREV long, MONTHS_BALANCE int, AMT_BALANCE double, AMT_CREDIT_LIMIT_ACTUAL double, "
+    "AMT_DRAWINGS_CURRENT double, AMT_INST_MIN_REGULARITY double, AMT_PAYMENT_TOTAL_CURRENT double, CNT_DRAWINGS_CURRENT double, "
+    "NAME_CONTRACT_STATUS string, SK_DPD int, SK_DPD_DEF int"
+)
 
 
 def _row(cur, acc, status, days, credit, debt, ctype="Consumer credit", overdue=0):
@@ -37,3 +44,44 @@ def test_block_edges(spark):
     assert filled[2]["bureau_recent_6m_loan_count"] == 0  # *_count zero-filled
     assert filled[2]["bureau_recent_6m_overdue_loan_ratio"] is None  # ratios stay NULL
     assert filled[1]["has_bureau_loan_history"] == 1
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_a_block_and_its_join_shuffle_each_row_once(spark):
+    rows = spark.createDataFrame([_row(1, 10, "Active", 0, 100.0, 50.0)], COLS)
+    block = build_block(BUREAU, rows)
+    assert _exchanges(block) == 1  # the raw rows; no wide row of aggregates
+    spine = spark.range(3).withColumnRenamed("id", "SK_ID_CURR")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _exchanges(join_blocks(spine, [block, build_block(BUREAU_BALANCE, _months(spark, []))])) == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _months(spark, rows):
+    return spark.createDataFrame(rows, "SK_ID_CURR long, SK_ID_BUREAU long, MONTHS_BALANCE int, STATUS string")
+
+
+def test_distinct_counts_by_subset_null_keys_and_values(spark):
+    rng = random.Random(5)
+
+    def pick(*xs):
+        return rng.choice(xs)
+
+    rows = [
+        (pick(None, 1, 2, 3), pick(None, 7, 8, 9), pick(None, -30, -20, -10, -3, 0, 2), None, pick(None, 1.0), None, None, None, None, None, 0, 0)
+        for _ in range(60)
+    ] + [(4, None, -1) + (None,) * 9, (5, 7, 3) + (None,) * 9]
+    got = {r["SK_ID_CURR"]: r for r in build_block(CREDIT_CARD, spark.createDataFrame(rows, CARD)).collect()}
+    assert set(got) == {None, 1, 2, 3, 4, 5}
+    for key, r in got.items():
+        own = [x for x in rows if x[0] == key]
+        assert r["credit_card_contract_count"] == len({x[1] for x in own} - {None})
+        for name, w in MONTH_WINDOWS.items():
+            inside = [x for x in own if x[2] is not None and -w <= x[2] <= 0]
+            want = len({x[1] for x in inside} - {None}) if inside else None
+            assert r[f"credit_card_recent_{name}_contract_count"] == want, (key, name)
