@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskfold.functions.core import safe_div
@@ -29,6 +29,9 @@ from riskfold.functions.core import safe_div
 SENTINEL = 365243
 DAY_WINDOWS = {"6m": 180, "12m": 365, "24m": 730}
 MONTH_WINDOWS = {"6m": 6, "12m": 12, "24m": 24}
+#: Raw rows of all blocks that a partition of the entities holds on average: derived, sorted and aggregated they are many
+#: times as wide, so a number of partitions that does not grow with the rows makes the tasks spill.
+PARTITION_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -109,9 +112,19 @@ def _agg_expr(fn: str, x: Column) -> Column:
     raise ValueError(fn)
 
 
-def prepare_rows(spec: BlockSpec, rows: DataFrame) -> DataFrame:
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Partitions by entity for that many raw rows; no fewer than the session has cores."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // PARTITION_ROWS))
+
+
+def by_entity(rows: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """``rows`` shuffled by entity into ``partitions`` (None: as the session is set)."""
+    return rows.repartition(partitions, F.col(key)) if partitions else rows.repartition(F.col(key))
+
+
+def prepare_rows(spec: BlockSpec, rows: DataFrame, partitions: int | None = None) -> DataFrame:
     """Project the needed raw columns, shuffle them by entity, clean sentinels, add derived columns."""
-    df = rows.select(*spec.columns).repartition(F.col(spec.key))
+    df = by_entity(rows.select(*spec.columns), spec.key, partitions)
     if spec.clean_days:
         df = clean_day_columns(df)
     for name, sql in spec.derived:
@@ -119,15 +132,16 @@ def prepare_rows(spec: BlockSpec, rows: DataFrame) -> DataFrame:
     return df
 
 
-def build_block(spec: BlockSpec, rows: DataFrame) -> DataFrame:
+def build_block(spec: BlockSpec, rows: DataFrame, partitions: int | None = None) -> DataFrame:
     """One ``groupBy(key).agg`` with every feature of the block, over rows that lie with their entity.
 
     A distinct count sums the marks of :func:`mark_first`: a plain
     ``count(DISTINCT ...)`` beside the other aggregates would copy every input
     row once per distinct count, and a block of counts joined to this one would
-    shuffle the wide rows again.
+    shuffle the wide rows again.  Blocks that are joined have the same number
+    of ``partitions`` (:func:`partitions_for`).
     """
-    df = prepare_rows(spec, rows)
+    df = prepare_rows(spec, rows, partitions)
     masks = {s.name: F.expr(s.mask) for s in spec.subsets}
     aggs: list[Column] = []
     counted: dict[str, dict[str, str]] = {}  # column -> mark -> subset ("" for all rows)

@@ -3,7 +3,8 @@
 The entity spine is LEFT-joined with every block on the entity key.  Each
 block leaves its ``groupBy`` hash-partitioned on that key, so the join chain
 shuffles the spine once and reuses the partitioning for the following joins
-(no broadcast: blocks grow with the number of entities).
+(no broadcast: blocks grow with the number of entities).  The number of
+partitions follows the raw rows, so a task's memory does not grow with them.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskfold.functions.core import row_null_count, safe_div
-from riskfold.operators.blocks import BlockSpec
+from riskfold.operators.blocks import BlockSpec, by_entity
 
 KEY = "SK_ID_CURR"
 ID_COLUMNS = ("dataset", "SK_ID_CURR", "TARGET")
@@ -81,8 +82,10 @@ def add_missingness(df: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def build_feature_store(spine: DataFrame, blocks: Sequence[DataFrame], strict: bool = False) -> DataFrame:
-    return add_missingness(fill_no_history(join_blocks(spine, blocks)), strict=strict)
+def build_feature_store(spine: DataFrame, blocks: Sequence[DataFrame], strict: bool = False, partitions: int | None = None) -> DataFrame:
+    """The spine with all blocks; ``partitions``: the number that the blocks were built with."""
+    rows = by_entity(spine, KEY, partitions) if partitions else spine
+    return add_missingness(fill_no_history(join_blocks(rows, blocks)), strict=strict)
 
 
 def manifest(spark: SparkSession, app_columns: Sequence[str], specs: Sequence[BlockSpec]) -> DataFrame:

@@ -283,6 +283,11 @@ def spark_role(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
     return src.selectExpr(*b.exprs("spark"))
 
 
+def role_rows(spark: SparkSession, sf_dir: str, role: str) -> int:
+    """Rows of the role's largest table, from the files' footers."""
+    return max(read_table(spark, sf_dir, t).count() for t in BINDINGS[role].tables)
+
+
 def duckdb_role(role: str) -> str:
     """The role as a DuckDB sub-query (tables are pre-registered views)."""
     b = BINDINGS[role]

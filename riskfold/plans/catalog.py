@@ -45,7 +45,9 @@ def block_rows_sql(spec: B.BlockSpec) -> str:
 
 def _block_query(name: str, spec: B.BlockSpec) -> None:
     register(name, lambda: duck_round(block_sql(spec, block_rows_sql(spec)), double_outputs(spec)))(
-        lambda spark, sf_dir: B.build_block(spec, block_rows(spark, sf_dir, spec))
+        lambda spark, sf_dir: B.build_block(
+            spec, block_rows(spark, sf_dir, spec), B.partitions_for(spark, BD.role_rows(spark, sf_dir, spec.source_table))
+        )
     )
 
 

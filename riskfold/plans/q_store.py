@@ -56,10 +56,16 @@ def app_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.application_base(train, test)
 
 
-def block_frames(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def store_partitions(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions of the spine and its blocks, by the raw rows of all of them."""
+    roles = ["application", *(spec.source_table for spec in BLOCK_ORDER)]
+    return B.partitions_for(spark, sum(BD.role_rows(spark, sf_dir, r) for r in roles))
+
+
+def block_frames(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> list[DataFrame]:
     from riskfold.plans.catalog import block_rows
 
-    return [B.build_block(spec, block_rows(spark, sf_dir, spec)) for spec in BLOCK_ORDER]
+    return [B.build_block(spec, block_rows(spark, sf_dir, spec), partitions) for spec in BLOCK_ORDER]
 
 
 def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +78,8 @@ def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskfold.session import materialise
 
     def build():
-        return materialise(S.build_feature_store(app_base(spark, sf_dir), block_frames(spark, sf_dir)), "q_store")
+        n = store_partitions(spark, sf_dir)
+        return materialise(S.build_feature_store(app_base(spark, sf_dir), block_frames(spark, sf_dir, n), partitions=n), "q_store")
 
     return memo("feature_store", spark, sf_dir, build)
 

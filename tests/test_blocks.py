@@ -1,7 +1,9 @@
 import random
 
-from riskfold.operators.blocks import BUREAU, BUREAU_BALANCE, CREDIT_CARD, MONTH_WINDOWS, build_block
-from riskfold.operators.store import fill_no_history, join_blocks
+from riskfold.operators import blocks
+from riskfold.operators.blocks import BUREAU, BUREAU_BALANCE, CREDIT_CARD, MONTH_WINDOWS, build_block, partitions_for
+from riskfold.operators.store import build_feature_store, fill_no_history, join_blocks
+from riskfold.plans import q_store
 
 COLS = (
     "SK_ID_CURR long, SK_ID_BUREAU long, CREDIT_ACTIVE string, DAYS_CREDIT int, CREDIT_DAY_OVERDUE int, "
@@ -62,6 +64,36 @@ def test_a_block_and_its_join_shuffle_each_row_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_partitions_of_the_store_follow_the_raw_rows(spark, monkeypatch, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(blocks, "PARTITION_ROWS", 10)
+    assert [partitions_for(spark, n) for n in (0, 10 * cores, 10 * cores + 1, 1000 * cores)] == [cores, cores, cores + 1, 100 * cores]
+    sizes = {"customer": 30, "orders": 50, "lineitem": 70, "events": 90}
+    for table, n in sizes.items():
+        spark.range(n).write.parquet(f"{tmp_path}/{table}.parquet")
+    # bureau and earlier applications from orders, statuses and instalments from lineitem, card and POS from events
+    assert q_store.store_partitions(spark, str(tmp_path)) == max(cores, (30 + 2 * (50 + 70 + 90)) // 10)
+
+
+def test_a_given_number_of_partitions_changes_no_row_and_adds_no_shuffle(spark):
+    rows = spark.createDataFrame([_row(k, 10 * k + i, "Active", -i, 100.0, 50.0) for k in (1, 2, 3) for i in range(4)], COLS)
+    months = _months(spark, [(k, 10 * k, -m, "1") for k in (2, 3, 4) for m in range(3)])
+    spine = spark.range(6).selectExpr("nullif(id, 5) AS SK_ID_CURR", "'train' AS dataset", "0 AS TARGET")
+
+    def store(n):
+        return build_feature_store(spine, [build_block(BUREAU, rows, n), build_block(BUREAU_BALANCE, months, n)], partitions=n)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        given = store(19)  # more than the session's 8
+        assert _exchanges(given) == 3
+        assert given.rdd.getNumPartitions() == 19
+        assert sorted(map(str, given.collect())) == sorted(map(str, store(None).collect()))
+        assert _exchanges(store(3)) == 3  # fewer
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def _months(spark, rows):
     return spark.createDataFrame(rows, "SK_ID_CURR long, SK_ID_BUREAU long, MONTHS_BALANCE int, STATUS string")
 
