@@ -88,3 +88,73 @@ def test_a_fit_starts_few_jobs_a_tree(spark):
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
     assert jobs < 20 * M.GBT_DEPTH + 40
+
+
+def _blocks(bins, width, h, y, parts=1):
+    """Blocks as the fit holds them, from bins (features x rows)."""
+    layout = B.Layout.of(width)
+    codes = np.zeros((layout.tables, bins.shape[1]), np.uint16)
+    for f, b in enumerate(bins):
+        codes[layout.table[f]] |= (b << layout.shift[f]).astype(np.uint16)
+    high = np.zeros((-(-layout.tables // 4), bins.shape[1]), np.uint8)
+    for t in range(layout.tables):
+        high[t // 4] |= (codes[t] >> 8 << 2 * (t % 4)).astype(np.uint8)
+    rows = np.array_split(np.arange(bins.shape[1]), parts)
+    return layout, [B.Block(h[r], y[r], codes[:, r].astype(np.uint8), high[:, r], np.zeros(len(r))) for r in rows]
+
+
+def test_sums_against_plain_counting():
+    rng, n = np.random.default_rng(4), 700
+    width = np.array([1, 2, 32, 3, 9, 2, 17, 32, 5, 31, 2, 16, 16, 4])
+    bins = np.array([rng.integers(0, w, n) for w in width])
+    h, y = rng.integers(-(2**63), 2**63 - 1, n), np.where(rng.random(n) < 0.3, 1, -1).astype(np.int8)
+    layout, blocks = _blocks(bins, width, h, y, 3)
+    first, tree = B.Tree.empty(3), B.Tree.empty(3)
+    first.feature[[0, 2]], first.cut[[0, 2]], first.value[:] = (7, 11), (12, 5), rng.normal(size=15)
+    tree.feature[[0, 1, 2]], tree.cut[[0, 1, 2]] = (9, 4, 1), (20, 3, 0)
+
+    def ends(t):
+        at = np.zeros(n, int)
+        for _ in range(3):
+            inner = t.feature[at] >= 0
+            at = np.where(inner, 2 * at + 1 + (bins[t.feature[at], np.arange(n)] > t.cut[at]), at)
+        return at
+
+    assert [b.tolist() for b in (ends(first), ends(tree))] == [np.concatenate([t.leaves(b, layout) for b in blocks]).tolist() for t in (first, tree)]
+    margin = 0.3 * first.value[ends(first)]
+    residual = 4 * y / (1 + np.exp(2 * y * margin))
+    seen = B.drawn(h, 1, 0.85, 7)
+    starts = np.cumsum(width) - width
+    for nodes, of in (([3, 6], tree), ([0], B.Tree.empty(3))):
+        (got,) = B._sums(blocks, B.Level([(0.3, first)], of, nodes, 1, 0.85, 7, layout))
+        for k, node in enumerate(nodes):
+            mine = seen & (ends(of) == node)
+            for f in range(len(width)):
+                own = got[k, starts[f] : starts[f] + width[f]]
+                # the root counts the rows that the tree does not see
+                assert own[:, 0].tolist() == np.bincount(bins[f][mine if node else ~seen], minlength=width[f]).tolist()
+                np.testing.assert_allclose(own[:, 1], np.bincount(bins[f][mine], residual[mine], width[f]), atol=1e-10)
+
+
+def test_features_of_few_values_share_a_table(spark):
+    """The held bytes follow the bits of the bins: indicators took a byte each."""
+    names = [f"c{i}" for i in range(40)]
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame((rng.random((300, 40)) < 0.2).astype(float), columns=names).assign(SK_ID_CURR=np.arange(300), TARGET=rng.integers(0, 2, 300))
+    dev = VectorAssembler(inputCols=names, outputCol="features").transform(spark.createDataFrame(pdf))
+    fit = B.Booster(dev, 0.3, 2, 10, 0.85, 0.85, 1, KEY, LABEL)
+    try:
+        sizes = fit.held.map(lambda b: (len(b.y), b.low.nbytes + b.high.nbytes)).collect()
+    finally:
+        fit.release()
+    assert sum(n for n, _ in sizes) == 300 and sum(size for _, size in sizes) <= 300 * 5
+
+
+def test_held_blocks_join_small_ones():
+    def packed(n):
+        return {"h": np.arange(n).tobytes(), "y": np.ones(n, np.int8).tobytes(), "low": np.full((3, n), n % 251, np.uint8).tobytes(), "high": np.ones((1, n), np.uint8).tobytes()}
+
+    sizes = [10_000] * 14 + [7]
+    blocks = list(B._blocks(packed(n) for n in sizes))
+    assert [len(b.y) for b in blocks] == [60_000, 60_000, 20_007] and list(B._blocks([])) == []
+    assert blocks[2].low.shape == (3, 20_007) and set(blocks[2].low[1, -7:]) == {7} and set(blocks[2].y) == {1}
