@@ -151,3 +151,50 @@ def test_null_labels_and_empty_design(fitted):
     none = design.withColumn("TARGET", F.lit(None).cast("int"))
     assert R.staged_metrics(none, trees).count() == 0
     assert R.add_margin(design.limit(0), trees).count() == 0
+
+
+def test_margins_tree_by_tree():
+    rng = np.random.default_rng(9)
+    trees = random_trees(rng, 6, 4, 3)
+    trees.feature[2, 0] = -1  # a tree of one leaf
+    trees.value[2, 0] = 0.4
+    x = rng.normal(size=(50, 3))
+    x[7, 1] = np.nan  # is at no threshold or below it: goes right
+
+    def walk(t, row):
+        i = 0
+        while trees.feature[t, i] >= 0:
+            i = trees.left[t, i] if row[trees.feature[t, i]] <= trees.threshold[t, i] else trees.right[t, i]
+        return trees.value[t, i]
+
+    want = np.array([[walk(t, row) for t in range(6)] for row in x])
+    assert trees.staged(x).tolist() == want.tolist()
+    np.testing.assert_allclose(trees.margin(x), want.sum(axis=1), atol=1e-14)
+    assert trees.staged(x[:0]).shape == (0, 6) and trees.margin(x[:0]).shape == (0,)
+    assert R.contributions_of(trees.leaf_games(), x[:0]).shape == (0, 3)
+
+
+def test_a_path_that_asks_a_feature_twice():
+    a = {k: np.full((1, 7), -1, np.int64) for k in ("feature", "left", "right")} | {k: np.zeros((1, 7)) for k in ("threshold", "value", "cover")}
+    a["feature"][0, :2], a["left"][0, :2], a["right"][0, :2], a["threshold"][0, :2] = 0, (1, 3), (2, 4), (1.0, -1.0)
+    a["cover"][0, :5], a["value"][0, 2:5] = (10, 6, 4, 1, 5), (3.0, -2.0, 0.5)
+    trees, x = R.Trees(**a), np.array([[-2.0, 0], [0.0, 0], [2.0, 0]])
+    game = trees.leaf_games()
+    assert [[len(g.features) for g in leaves] for leaves in game[1]] == [[1, 1, 1]]  # by tree
+    for row, c in zip(x, R.contributions_of(game, x), strict=True):
+        np.testing.assert_allclose(c, brute_force(trees, row)[1], atol=1e-12)
+
+
+@pytest.mark.parametrize("best,patience,bound,looks", [(233, 100, 400, [200, 300, 333]), (100, 100, 400, [200]), (30, 100, 400, [200]), (399, 100, 400, [200, 300, 400]),
+                                                       (900, 100, 2500, [200, 300, 400, 500, 625, 781, 976, 1144])])
+def test_a_fit_grows_no_further_than_its_best_round_needs(best, patience, bound, looks):
+    from riskfold.operators import models as M
+
+    losses, seen, rounds = [1 - i / 1e4 if i < best else 1 - (best - 1) / 1e4 + (i - best + 1) / 1e4 for i in range(bound)], [], 2 * patience
+    while True:
+        seen.append(rounds)
+        at, waited = R.best_round(losses[:rounds], patience)
+        if waited or rounds >= bound:
+            break
+        rounds = M.next_rounds(rounds, at, patience, bound)
+    assert seen == looks and (at == best)
